@@ -98,11 +98,9 @@ def _expand(edges: DataFrame, frontier: DataFrame, seen: DataFrame, frontier_byt
     return found.join(seen.select("url"), "url", "left_anti")
 
 
-def counter_pages(spark, templates: Sequence[str], start: int, end: int) -> DataFrame:
-    """(template, k, url) for every page number of every template."""
-    rows = [(i, t) for i, t in enumerate(templates)]
-    base = spark.createDataFrame(rows, "template int, pattern string")
-    numbered = base.select("template", "pattern", F.explode(F.sequence(F.lit(start), F.lit(end))).alias("k"))
+def counter_pages(templates: DataFrame, start: int, end: int) -> DataFrame:
+    """(template, k, url) for every page number of every template; ``templates`` is (template, pattern)."""
+    numbered = templates.select("template", "pattern", F.explode(F.sequence(F.lit(start), F.lit(end))).alias("k"))
     return numbered.select("template", "k", urls.counter_url(F.col("pattern"), F.col("k")).alias("url"))
 
 

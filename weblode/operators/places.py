@@ -33,5 +33,6 @@ def locate(records: DataFrame, column: str, cities: DataFrame, spread_by: str =
     """
     empty = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(spread_by), F.lit(EMPTY_KEYS)).cast("string"))
     keyed = records.withColumn("place_key", F.coalesce(place_key(F.col(column)), empty))
-    found = keyed.join(gazetteer_by_name(cities).drop("geonameid"), "place_key", "left")
-    return found.select(*[F.col("place").alias(c) if c == column else F.col(c) for c in records.columns])
+    known = gazetteer_by_name(cities).select("place_key", F.col("place").alias("known_place"))
+    found = keyed.join(known, "place_key", "left")
+    return found.select(*[F.col("known_place").alias(c) if c == column else F.col(c) for c in records.columns])

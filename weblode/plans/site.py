@@ -77,12 +77,12 @@ def index_site(
     found = stored(links.link_table(pages, site), work_path(spark, "links"))
     targets = discovered(found, site, max_visits)
     page_url = F.col("url") if site.keep_parameters else urls.strip_parameters(F.col("url"))
-    wanted = (
-        pages.select(page_url.alias("page_url"), "url", "html")
-        .join(targets.withColumnRenamed("url", "page_url"), "page_url")
-        .select("found_at", "url", "html")
+    # Extraction comes before the join, so that markup is never shuffled.
+    extracted = page_records(
+        pages.select(page_url.alias("page_url"), "url", "html"), site, countries, gazetteer, keep=["page_url"]
     )
-    new = new_records(page_records(wanted, site, countries, gazetteer, keep=["found_at"]), site, index_path, ["found_at", "url"])
+    wanted = extracted.join(targets.withColumnRenamed("url", "page_url"), "page_url").drop("page_url")
+    new = new_records(wanted, site, index_path, ["found_at", "url"])
     fresh = stored(new.drop("found_at"), work_path(spark, "records"))
     save_files(fresh, site, files_path)
     upsert_records(fresh, site, index_path, buckets)
