@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -46,11 +45,13 @@ def letters_only(text: Column) -> Column:
 
 def repair_ending(text: Column) -> Column:
     """If the text ends with a dangling word, delete every occurrence of it; cascades down the list."""
-    return reduce(
-        lambda t, e: F.when(F.endswith(t, F.lit(e)), F.replace(t, F.lit(e), F.lit(""))).otherwise(t),
-        DANGLING_ENDINGS,
+    any_ending = "(?:" + "|".join(DANGLING_ENDINGS) + r")\z"
+    repaired = F.aggregate(
+        F.array(*[F.lit(e) for e in DANGLING_ENDINGS]),
         text,
+        lambda t, e: F.when(F.endswith(t, e), F.replace(t, e, F.lit(""))).otherwise(t),
     )
+    return F.when(text.rlike(any_ending), repaired).otherwise(text)
 
 
 def is_candidate(text: Column) -> Column:

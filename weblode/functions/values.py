@@ -189,4 +189,4 @@ def finished(value: Column, datatype: str, removals=None, patterns=None, as_arra
         out = truncated_decimal(out)
     if patterns:
         out = innermost(out.cast("string"), patterns[0])
-    return F.when(out.isNotNull(), F.array(out)) if as_array else out
+    return let(out, lambda v: F.when(v.isNotNull(), F.array(v))) if as_array else out

@@ -89,8 +89,12 @@ def feature_text(
     """
 
     def type_value(text):
-        return values.typed(
-            text, feature.datatype, feature.expected_values, feature.extraction_patterns, countries
+        # Typing may look at the text many times; it is extracted once.
+        return let(
+            text,
+            lambda t: values.typed(
+                t, feature.datatype, feature.expected_values, feature.extraction_patterns, countries
+            ),
         )
 
     def first_of_many(found, sides):
