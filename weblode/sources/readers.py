@@ -67,15 +67,20 @@ def read_json_directory(
     return lines.select(parsed.alias("record"), "file_path").select("record.*", "file_path")
 
 
-def read_gazetteer(spark: SparkSession, path: str, schema: str = CITIES) -> DataFrame:
-    """A JSON array of places (or of universities, with that schema), one row per element."""
-    return spark.read.schema(schema).json(path, multiLine=True)
+def read_gazetteer(
+    spark: SparkSession, path: str, schema: str = CITIES, whole_file: bool = True
+) -> DataFrame:
+    """JSON arrays of places (or of universities, with that schema), one row per element.
+
+    A file is one array, or has an array or object per line if not ``whole_file``.
+    """
+    return spark.read.schema(schema).json(path, multiLine=whole_file)
 
 
-def read_index_export(spark: SparkSession, path: str, field: str) -> DataFrame:
+def read_index_export(spark: SparkSession, path: str, field: str, whole_file: bool = True) -> DataFrame:
     """The field of every hit of an index export; it is read from the hit itself."""
     schema = T.StructType().add(
         "hits", T.StructType().add("hits", T.ArrayType(T.StructType().add(field, T.StringType())))
     )
-    exported = spark.read.schema(schema).json(path, multiLine=True)
+    exported = spark.read.schema(schema).json(path, multiLine=whole_file)
     return exported.select(F.explode("hits.hits").alias("hit")).select(F.col("hit").getField(field).alias(field))

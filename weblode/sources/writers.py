@@ -41,7 +41,10 @@ def write_csv(
         F.to_json(f.name).alias(f.name) if isinstance(f.dataType, T.ArrayType) else F.col(f.name)
         for f in shown.schema
     ]
-    shown.select(*flat).write.mode(mode).option("escape", '"').csv(path)
+    # The CSV writer trims values unless told not to.
+    shown.select(*flat).write.mode(mode).options(
+        escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
 
 
 def write_vocabulary(values: DataFrame, path: str) -> None:
