@@ -66,7 +66,8 @@ def upsert(
         merged = changes
         if documents is not None:
             merged = upserted(documents.where(F.col(BUCKET).isin(touched)), changes, key)
-        merged.repartition(BUCKET).write.mode("overwrite").parquet(f"{staging}/merged")
+        # Rows of a bucket come together, but a large bucket is split over several tasks and files.
+        merged.hint("rebalance", BUCKET).write.mode("overwrite").parquet(f"{staging}/merged")
         if batch:
             spark.range(1).write.mode("overwrite").parquet(f"{staging}/done")
     merged = spark.read.parquet(f"{staging}/merged")
