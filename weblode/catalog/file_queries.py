@@ -15,7 +15,7 @@ from weblode.catalog.index_queries import (
     sql_enumeration,
 )
 from weblode.catalog.page_queries import RECORD, SQL_RECORDS
-from weblode.catalog.registry import query, table
+from weblode.catalog.registry import query, spread_table, table
 from weblode.config import DecisionModel
 from weblode.operators import vocabulary
 from weblode.operators.index import read_index
@@ -131,7 +131,7 @@ def csv_sink(spark, sf_dir):
 @query("s8_vocabulary_sink", SQL_VOCABULARY)
 def vocabulary_sink(spark, sf_dir):
     path = work_path(spark, "vocabulary")
-    found = vocabulary.vocabulary(table(spark, sf_dir, "documents"), "text", DELIMITERS, FORBIDDEN)
+    found = vocabulary.vocabulary(spread_table(spark, sf_dir, "documents", "doc_id"), "text", DELIMITERS, FORBIDDEN)
     writers.write_vocabulary(found, path)
     return spark.read.schema("value string").json(path)
 

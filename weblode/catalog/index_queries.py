@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weblode.catalog.registry import query, table
+from weblode.catalog.registry import query, spread_table, table
 from weblode.config import DecisionModel
 from weblode.functions import text as X
 from weblode.operators import index, model, records, vocabulary
@@ -185,7 +185,7 @@ SQL_DIGITS = "coalesce(nullif(regexp_replace({0}, '[^0-9]', '', 'g'), ''), '0')"
     f"SELECT doc_id, {SQL_DIGITS.format('text')} AS digits FROM documents",
 )
 def digits_only(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", X.digits_only(F.col("text")).alias("digits"))
+    return spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", X.digits_only(F.col("text")).alias("digits"))
 
 
 @query(
@@ -208,7 +208,7 @@ def pass_through(spark, sf_dir):
         k: {"scoreCalculation": {"datatype": "text"}, "schemaMapping": {"schemaDataType": "keyword"}}
         for k in ("lang", "source")
     }
-    saved = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("url"), "lang", "source")
+    saved = spread_table(spark, sf_dir, "documents", "doc_id").select(F.col("doc_id").alias("url"), "lang", "source")
     return model.to_model(saved, DecisionModel.parse("documents", wanted))
 
 
@@ -271,7 +271,7 @@ def sql_camel(text: str) -> str:
 
 @query("c2_camel_pieces", f"SELECT doc_id, array_to_string({sql_camel('text')}, '|') AS pieces FROM documents")
 def camel_pieces(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return spread_table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id", F.array_join(X.camel_pieces(F.col("text")), "|").alias("pieces")
     )
 
@@ -286,7 +286,7 @@ def sql_pieces(text: str) -> str:
 
 @query("c3_delimiter_pieces", f"SELECT doc_id, unnest({sql_pieces('text')}) AS piece FROM documents")
 def delimiter_pieces(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return spread_table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id", F.explode(X.delimiter_pieces(F.col("text"), DELIMITERS)).alias("piece")
     )
 
@@ -296,7 +296,7 @@ SQL_LETTERS = "trim(regexp_replace({0}, '[^A-Za-z ]+', '', 'g'), ' ')"
 
 @query("c4_letters_only", f"SELECT doc_id, {SQL_LETTERS.format('text')} AS text FROM documents")
 def letters_only(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", X.letters_only(F.col("text")).alias("text"))
+    return spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", X.letters_only(F.col("text")).alias("text"))
 
 
 def sql_repair_ctes(source: str, column: str) -> str:
@@ -317,7 +317,7 @@ def sql_repair_ctes(source: str, column: str) -> str:
     + " SELECT doc_id, piece, v AS repaired FROM repaired",
 )
 def repair_ending(spark, sf_dir):
-    pieces = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", ",")).alias("piece"))
+    pieces = spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", F.explode(F.split("text", ",")).alias("piece"))
     return pieces.select("doc_id", "piece", X.repair_ending(F.col("piece")).alias("repaired"))
 
 
@@ -330,7 +330,7 @@ SQL_CANDIDATE = r"length({0}) > 1 AND NOT regexp_matches({0}, '^(\p{{Lu}}+|\p{{L
     + SQL_CANDIDATE.format("piece"),
 )
 def candidates(spark, sf_dir):
-    pieces = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", " ")).alias("piece"))
+    pieces = spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", F.explode(F.split("text", " ")).alias("piece"))
     return pieces.where(X.is_candidate(F.col("piece")))
 
 
@@ -349,4 +349,4 @@ SQL_VOCABULARY = (
 
 @query("c7_vocabulary", SQL_VOCABULARY)
 def vocabulary_of_documents(spark, sf_dir):
-    return vocabulary.vocabulary(table(spark, sf_dir, "documents"), "text", DELIMITERS, FORBIDDEN)
+    return vocabulary.vocabulary(spread_table(spark, sf_dir, "documents", "doc_id"), "text", DELIMITERS, FORBIDDEN)

@@ -6,7 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from weblode.catalog.registry import pages, query, table
+from weblode.catalog.registry import pages, query, spread_table, table
 from weblode.catalog.url_queries import sql_strip
 from weblode.config import Anchor, Feature, Site
 from weblode.functions import dom
@@ -200,7 +200,7 @@ def event_pages(spark, sf_dir):
         "event_type",
         F.lit('</b>"}}</script><p>not json</p></body></html>'),
     )
-    return dom.with_nodes(table(spark, sf_dir, "events").select("event_id", html.alias("html")), ["script", "p"])
+    return dom.with_nodes(spread_table(spark, sf_dir, "events", "event_id").select("event_id", html.alias("html")), ["script", "p"])
 
 
 @query(

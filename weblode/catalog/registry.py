@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weblode.sources.readers import read_pages
+from weblode.sources.readers import read_pages, spread_small
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,5 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose rows are costly to work on, over all cores even if it is one small file."""
+    path = f"{sf_dir}/{name}.parquet"
+    return spread_small(spark.read.parquet(path), path, key)
+
+
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_pages(spark, f"{sf_dir}/pages.parquet")

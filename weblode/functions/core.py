@@ -34,4 +34,4 @@ def any_contains(text: Column, needles: Iterable[str]) -> Column:
 
 
 def blank_to_null(text: Column) -> Column:
-    return F.nullif(text, F.lit(""))
+    return let(text, lambda t: F.when(t != "", t))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,18 +41,19 @@ def delimiter_pieces(text: Column, delimiters: Sequence[str]) -> Column:
 
 
 def letters_only(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, "[^A-Za-z ]+", ""))
+    """ASCII letters and spaces, trimmed. The named class is matched by table, a range by range is not."""
+    return F.trim(F.regexp_replace(text, r"[^\p{Alpha} ]+", ""))
 
 
 def repair_ending(text: Column) -> Column:
     """If the text ends with a dangling word, delete every occurrence of it; cascades down the list."""
-    any_ending = "(?:" + "|".join(DANGLING_ENDINGS) + r")\z"
+    any_ending = reduce(lambda a, b: a | b, (F.endswith(text, F.lit(e)) for e in DANGLING_ENDINGS))
     repaired = F.aggregate(
         F.array(*[F.lit(e) for e in DANGLING_ENDINGS]),
         text,
         lambda t, e: F.when(F.endswith(t, e), F.replace(t, e, F.lit(""))).otherwise(t),
     )
-    return F.when(text.rlike(any_ending), repaired).otherwise(text)
+    return F.when(any_ending, repaired).otherwise(text)
 
 
 def is_candidate(text: Column) -> Column:
