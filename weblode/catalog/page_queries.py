@@ -131,9 +131,7 @@ def tag_stripping(spark, sf_dir):
 )
 def select_elements(spark, sf_dir):
     parsed = node_pages(spark, sf_dir, texts=["a", "div"])
-    links = extract.elements_table(parsed, "a", "", "page_id").select("page_id", F.lit("a").alias("selector"), "text")
-    ads = extract.elements_table(parsed, "div", "ad", "page_id")
-    return links.unionByName(ads.select("page_id", F.lit("div.ad").alias("selector"), "text"))
+    return extract.elements_table(parsed, [("a", ""), ("div", "ad")], "page_id").select("page_id", "selector", "text")
 
 
 @query(

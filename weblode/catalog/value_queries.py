@@ -190,7 +190,7 @@ def location(spark, sf_dir):
     texts = lines.select(
         "l_orderkey", "l_linenumber", values.place_text(shown, [r"\((.*)\)"]).alias("place")
     )
-    return locate(texts, "place", cities, spread_by="l_orderkey")
+    return locate(texts, "place", cities)
 
 
 @query(

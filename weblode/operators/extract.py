@@ -21,16 +21,22 @@ def titles(nodes: Column) -> Column:
     return F.transform(dom.elements(nodes, "title"), lambda t: dom.raw_text(nodes, t))
 
 
-def elements_table(pages: DataFrame, tag: str, css_class: str | None, *keys: str) -> DataFrame:
-    """One row per selected element: position, stripped text, attributes."""
-    found = dom.elements(F.col("nodes"), tag, css_class)
-    shaped = F.transform(
-        found,
-        lambda e: F.struct(
-            e["pos"].alias("pos"), dom.text_of(F.col("nodes"), e).alias("text"), e["attrs"].alias("attrs")
-        ),
-    )
-    return pages.select(*keys, F.explode(shaped).alias("e")).select(*keys, "e.*")
+def elements_table(pages: DataFrame, selectors: Sequence[tuple[str, str | None]], *keys: str) -> DataFrame:
+    """One row per element that a (tag, class) selector picks: selector, position, text, attributes."""
+
+    def shaped(tag, css_class):
+        return F.transform(
+            dom.elements(F.col("nodes"), tag, css_class),
+            lambda e: F.struct(
+                F.lit(f"{tag}.{css_class}" if css_class else tag).alias("selector"),
+                e["pos"].alias("pos"),
+                dom.text_of(F.col("nodes"), e).alias("text"),
+                e["attrs"].alias("attrs"),
+            ),
+        )
+
+    found = F.concat(*[shaped(*s) for s in selectors])
+    return pages.select(*keys, F.explode(found).alias("e")).select(*keys, "e.*")
 
 
 def single_value(nodes: Column, element: Column, property_value: str) -> Column:

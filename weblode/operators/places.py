@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows without a place are spread over this many keys that match nothing, not sent to one task.
-EMPTY_KEYS = 4096
+from weblode.operators.joins import looked_up
+from weblode.session import stored, work_path
+
+# A gazetteer of at most this many bytes of names is broadcast.
+BROADCAST_BYTES = 128 << 20
 
 
 def place_key(text: Column) -> Column:
@@ -25,14 +28,20 @@ def gazetteer_by_name(cities: DataFrame) -> DataFrame:
     )
 
 
-def locate(records: DataFrame, column: str, cities: DataFrame, spread_by: str = "url") -> DataFrame:
+def locate(records: DataFrame, column: str, cities: DataFrame) -> DataFrame:
     """Replace a place text by the gazetteer's ``name, subcountry, country``; unknown places become NULL.
 
-    No broadcast is forced: Spark picks one where the gazetteer is small, and splits a place that
-    many records share otherwise.
+    The gazetteer is reduced, stored and measured first: if it is small it is broadcast and the
+    records stay where they are, otherwise places that many records share are looked up apart.
     """
-    empty = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(spread_by), F.lit(EMPTY_KEYS)).cast("string"))
-    keyed = records.withColumn("place_key", F.coalesce(place_key(F.col(column)), empty))
-    known = gazetteer_by_name(cities).select("place_key", F.col("place").alias("known_place"))
-    found = keyed.join(known, "place_key", "left")
+    spark = records.sparkSession
+    reduced = gazetteer_by_name(cities).select("place_key", F.col("place").alias("known_place"))
+    known = stored(reduced, work_path(spark, "gazetteer"))
+    size = known.agg(F.sum(F.octet_length("place_key") + F.octet_length("known_place"))).first()[0] or 0
+    keyed = records.withColumn("place_key", place_key(F.col(column)))
+    if size <= BROADCAST_BYTES:
+        found = keyed.join(F.broadcast(known), "place_key", "left")
+    else:
+        # The rows are read more than once, so they are not extracted more than once.
+        found = looked_up(stored(keyed, work_path(spark, "places")), known, ["place_key"], "known_place")
     return found.select(*[F.col("known_place").alias(c) if c == column else F.col(c) for c in records.columns])

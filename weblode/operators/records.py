@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weblode.config import MISSING
+from weblode.operators.joins import looked_up
 
 
 def scalar(frame: DataFrame, name: str) -> Column:
@@ -50,21 +51,28 @@ def last_of_each(records: DataFrame, key: str, arrival: Sequence[str]) -> DataFr
     return kept.select(*[F.col(f"kept.{c}").alias(c) if c != key else F.col(c) for c in records.columns])
 
 
-def not_indexed(records: DataFrame, index: DataFrame, identity: Sequence[str]) -> DataFrame:
+def not_indexed(
+    records: DataFrame, index: DataFrame, identity: Sequence[str], one_each: bool = False
+) -> DataFrame:
     """Records that no indexed document equals on all identity features.
 
-    The index is reduced to its distinct identities first, so a value many documents share does
-    not make one task large.
+    ``one_each`` says that no two records share an identity, as after ``first_of_each``; then a plain
+    anti-join does. Otherwise identities that many records share are looked up apart.
     """
-    known = index.select(*[scalar(index, c).alias(f"known_{c}") for c in identity]).distinct()
-    same = [scalar(records, c) == F.col(f"known_{c}") for c in identity]
-    return records.join(known, same, "left_anti")
+    names = [f"known_{c}" for c in identity]
+    known = index.select(*[scalar(index, c).alias(n) for c, n in zip(identity, names)]).distinct()
+    if one_each:
+        same = [scalar(records, c) == F.col(n) for c, n in zip(identity, names)]
+        return records.join(known, same, "left_anti")
+    keyed = records.select("*", *[scalar(records, c).alias(n) for c, n in zip(identity, names)])
+    marked = looked_up(keyed, known.withColumn("is_known", F.lit(True)), names, "is_known")
+    return marked.where(F.col("is_known").isNull()).select(*records.columns)
 
 
 def presence(records: DataFrame, index: DataFrame, on: Sequence[str], flag: str = "present") -> DataFrame:
     """Add whether the index holds at least one document with the record's values."""
     known = index.select(*on).distinct().withColumn(flag, F.lit(True))
-    return records.join(known, list(on), "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    return looked_up(records, known, on, flag).withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
 def any_document(index: DataFrame, **values) -> bool:

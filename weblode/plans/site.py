@@ -12,6 +12,7 @@ from weblode.config import MISSING, Site
 from weblode.functions import urls
 from weblode.operators import frontier, links, records
 from weblode.operators.index import read_index, upsert
+from weblode.operators.joins import hot_keys, looked_up
 from weblode.plans.records import page_records
 from weblode.session import stored, work_path
 from weblode.sources.writers import write_csv, write_json
@@ -77,11 +78,13 @@ def index_site(
     found = stored(links.link_table(pages, site), work_path(spark, "links"))
     targets = discovered(found, site, max_visits)
     page_url = F.col("url") if site.keep_parameters else urls.strip_parameters(F.col("url"))
+    keyed = pages.select(page_url.alias("page_url"), "url", "html")
     # Extraction comes before the join, so that markup is never shuffled.
-    extracted = page_records(
-        pages.select(page_url.alias("page_url"), "url", "html"), site, countries, gazetteer, keep=["page_url"]
-    )
-    wanted = extracted.join(targets.withColumnRenamed("url", "page_url"), "page_url").drop("page_url")
+    extracted = page_records(keyed, site, countries, gazetteer, keep=["page_url"])
+    # One URL may stand for many pages once its parameters are dropped.
+    hot = hot_keys(keyed.select("page_url"), ["page_url"])
+    found_at = looked_up(extracted, targets.withColumnRenamed("url", "page_url"), ["page_url"], "found_at", hot)
+    wanted = found_at.where(F.col("found_at").isNotNull()).drop("page_url")
     new = new_records(wanted, site, index_path, ["found_at", "url"])
     fresh = stored(new.drop("found_at"), work_path(spark, "records"))
     save_files(fresh, site, files_path)
@@ -94,7 +97,7 @@ def new_records(extracted: DataFrame, site: Site, index_path: str, arrival: Sequ
     whole = records.complete(extracted, site.identity)
     first = records.first_of_each(whole, site.identity, arrival)
     index = read_index(extracted.sparkSession, index_path)
-    return first if index is None else records.not_indexed(first, index, site.identity)
+    return first if index is None else records.not_indexed(first, index, site.identity, one_each=True)
 
 
 def save_files(fresh: DataFrame, site: Site, files_path: str | None, mode: str = "append") -> None:
