@@ -38,3 +38,22 @@ def test_entry(spark):
     frame = entry.entry(spark)
     assert frame.columns == ["url", "title", "heading", "advert", "language", "collection", "item"]
     assert frame.count() > 0
+
+
+def test_register_needs_no_session_and_workers_no_package(tmp_path):
+    """Listing queries needs no session; running one needs the package on the driver only."""
+    import subprocess
+    import sys
+
+    script = f"""
+import importlib.util
+spec = importlib.util.spec_from_file_location("contract", {os.path.abspath(entry.__file__)!r})
+contract = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(contract)
+assert set(contract.queries()) == set(contract.oracle_sql())
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+print("rows", contract.entry(spark).count())
+"""
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "rows " in done.stdout, done.stderr[-2000:]

@@ -13,8 +13,6 @@ from weblode.functions import dom
 from weblode.operators import extract, records
 from weblode.plans.records import page_records
 
-HTML, NODES = F.col("html"), F.col("nodes")
-
 
 def sql_unescape(text: str) -> str:
     for entity, char in (("quot", '"'), ("middot", "·"), ("copy", "©"), ("lt", "<"), ("gt", ">"), ("amp", "&")):
@@ -49,7 +47,7 @@ def feature_query(spark, sf_dir, feature: Feature):
     """page_id and the feature's text."""
     tags, texts = extract.needed_nodes([feature])
     parsed = dom.with_nodes(pages(spark, sf_dir), tags, texts)
-    return parsed.select("page_id", extract.feature_text(feature, HTML, NODES).alias("value"))
+    return parsed.select("page_id", extract.feature_text(feature, F.col("html"), F.col("nodes")).alias("value"))
 
 
 @query(
@@ -74,14 +72,14 @@ def nodes_per_tag(spark, sf_dir):
 )
 def document_text(spark, sf_dir):
     flat = dom.with_nodes(pages(spark, sf_dir), ["html"], ["html"])
-    root = F.get(dom.elements(NODES, "html"), F.lit(0))
-    return flat.select("page_id", dom.raw_text(NODES, root).alias("text"))
+    root = F.get(dom.elements(F.col("nodes"), "html"), F.lit(0))
+    return flat.select("page_id", dom.raw_text(F.col("nodes"), root).alias("text"))
 
 
 @query("h2_titles", f"SELECT page_id, {sql_text('html', '<title>', '</title>')} AS titles FROM pages")
 def titles(spark, sf_dir):
     return node_pages(spark, sf_dir, texts=["title"]).select(
-        "page_id", F.array_join(extract.titles(NODES), "\n").alias("titles")
+        "page_id", F.array_join(extract.titles(F.col("nodes")), "\n").alias("titles")
     )
 
 
@@ -95,8 +93,8 @@ def titles(spark, sf_dir):
 )
 def body_filter(spark, sf_dir):
     bodiless = F.when(F.contains("url", F.lit("?")), F.replace("html", F.lit("<body>"), F.lit("")))
-    source = pages(spark, sf_dir).withColumn("html", F.coalesce(bodiless, HTML))
-    return dom.with_nodes(source, ["body"]).where(extract.has_body(NODES)).select("page_id", "url")
+    source = pages(spark, sf_dir).withColumn("html", F.coalesce(bodiless, F.col("html")))
+    return dom.with_nodes(source, ["body"]).where(extract.has_body(F.col("nodes"))).select("page_id", "url")
 
 
 @query(
@@ -110,12 +108,12 @@ def body_filter(spark, sf_dir):
     """,
 )
 def tag_stripping(spark, sf_dir):
-    broken = F.replace(HTML, F.lit(". "), F.lit(".\n\n"))
+    broken = F.replace(F.col("html"), F.lit(". "), F.lit(".\n\n"))
     broken = F.replace(broken, F.lit("<footer>"), F.lit("<footer>\n"))
     parsed = dom.with_nodes(pages(spark, sf_dir).withColumn("html", broken), [], ["footer", "h1"])
 
     def first(tag):
-        return dom.text_of(NODES, F.get(dom.elements(NODES, tag), F.lit(0)))
+        return dom.text_of(F.col("nodes"), F.get(dom.elements(F.col("nodes"), tag), F.lit(0)))
 
     return parsed.select("page_id", first("footer").alias("footer"), first("h1").alias("heading"))
 
@@ -148,8 +146,8 @@ def single_match(spark, sf_dir):
     heading, item = Feature("heading", "h1"), Feature("item", "li")
     return parsed.select(
         "page_id",
-        extract.feature_text(heading, HTML, NODES).alias("heading"),
-        extract.feature_text(item, HTML, NODES).alias("item"),
+        extract.feature_text(heading, F.col("html"), F.col("nodes")).alias("heading"),
+        extract.feature_text(item, F.col("html"), F.col("nodes")).alias("item"),
     )
 
 
@@ -168,7 +166,7 @@ def attribute(spark, sf_dir):
         Feature("charset", "meta", property_value="charset"),
         Feature("missing", "meta", property_value="id"),
     ]
-    return parsed.select("page_id", *[extract.feature_text(f, HTML, NODES).alias(f.name) for f in wanted])
+    return parsed.select("page_id", *[extract.feature_text(f, F.col("html"), F.col("nodes")).alias(f.name) for f in wanted])
 
 
 @query(
@@ -186,7 +184,7 @@ def html_passthrough(spark, sf_dir):
         Feature("heading", "h1", html_allowed=True),
         Feature("navigation", "nav", html_allowed=True),
     ]
-    return parsed.select("page_id", *[extract.feature_text(f, HTML, NODES).alias(f.name) for f in wanted])
+    return parsed.select("page_id", *[extract.feature_text(f, F.col("html"), F.col("nodes")).alias(f.name) for f in wanted])
 
 
 def event_pages(spark, sf_dir):
@@ -210,13 +208,13 @@ def event_pages(spark, sf_dir):
 )
 def embedded_json(spark, sf_dir):
     parsed = event_pages(spark, sf_dir)
-    script, other = (F.get(dom.elements(NODES, t), F.lit(0)) for t in ("script", "p"))
-    document = dom.embedded_json(HTML, script)
+    script, other = (F.get(dom.elements(F.col("nodes"), t), F.lit(0)) for t in ("script", "p"))
+    document = dom.embedded_json(F.col("html"), script)
     return parsed.select(
         "event_id",
         F.try_variant_get(document, "$.event.props.k", "string").alias("k"),
         F.try_variant_get(document, "$.event.type", "string").alias("type"),
-        dom.embedded_json(HTML, other).isNotNull().alias("text_is_json"),
+        dom.embedded_json(F.col("html"), other).isNotNull().alias("text_is_json"),
     )
 
 
@@ -231,7 +229,7 @@ def embedded_json(spark, sf_dir):
 def json_path(spark, sf_dir):
     def read(name, path):
         feature = Feature(name, "script", property_value=path, metadata_format="json")
-        return extract.feature_text(feature, HTML, NODES).alias(name)
+        return extract.feature_text(feature, F.col("html"), F.col("nodes")).alias(name)
 
     return event_pages(spark, sf_dir).select(
         "event_id",
@@ -293,7 +291,7 @@ def precedence(spark, sf_dir):
 def static_value(spark, sf_dir):
     feature = Feature("collection", static_value="archive")
     return pages(spark, sf_dir).select(
-        "page_id", extract.feature_value(feature, HTML, F.lit(None)).alias("collection")
+        "page_id", extract.feature_value(feature, F.col("html"), F.lit(None)).alias("collection")
     )
 
 

@@ -9,7 +9,6 @@ from weblode.catalog.registry import query, spread_table, table
 from weblode.functions import values
 from weblode.operators.places import locate
 
-TEXT = F.col("text")
 # Python and Spark count these as white space; DuckDB's \s does not.
 SPACE = r"[\s\x{b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 
@@ -36,17 +35,17 @@ AFTER_COLON = "regexp_replace(text, '^[^:]*:', '')"
 
 @query("v1_numeric_token", f"SELECT o_orderkey, {sql_token('text')} AS token FROM {SQL_PRICES}")
 def numeric_token(spark, sf_dir):
-    return price_texts(spark, sf_dir).select("o_orderkey", values.numeric_token(TEXT).alias("token"))
+    return price_texts(spark, sf_dir).select("o_orderkey", values.numeric_token(F.col("text")).alias("token"))
 
 
 @query("v1_numeric_token_documents", f"SELECT doc_id, {sql_token('text')} AS token FROM documents")
 def numeric_token_documents(spark, sf_dir):
-    return spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", values.numeric_token(TEXT).alias("token"))
+    return spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", values.numeric_token(F.col("text")).alias("token"))
 
 
 @query("v2_normal_text", f"SELECT doc_id, {sql_normal('text')} AS text FROM documents")
 def normal_text(spark, sf_dir):
-    return spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", values.normal_text(TEXT).alias("text"))
+    return spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", values.normal_text(F.col("text")).alias("text"))
 
 
 def sql_date(text: str) -> str:
@@ -76,12 +75,12 @@ def date_text(spark, sf_dir):
     dated = spread_table(spark, sf_dir, "orders", "o_orderkey").select(
         "o_orderkey", F.concat(F.lit("on "), form, F.lit(" placed")).alias("text")
     )
-    return dated.select("o_orderkey", values.date_text(TEXT).alias("date_text"))
+    return dated.select("o_orderkey", values.date_text(F.col("text")).alias("date_text"))
 
 
 @query("v3_date_documents", f"SELECT doc_id, {sql_date('text')} AS date_text FROM documents")
 def date_documents(spark, sf_dir):
-    return spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", values.date_text(TEXT).alias("date_text"))
+    return spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", values.date_text(F.col("text")).alias("date_text"))
 
 
 SQL_ORIGINS = """
@@ -152,7 +151,7 @@ VOTES = {"th": "english", "ing": "english", "und": "german", "sch": "german", "q
 )
 def category_votes(spark, sf_dir):
     return spread_table(spark, sf_dir, "documents", "doc_id").select(
-        "doc_id", values.category_by_votes(TEXT, VOTES).alias("category")
+        "doc_id", values.category_by_votes(F.col("text"), VOTES).alias("category")
     )
 
 
@@ -161,7 +160,7 @@ def category_votes(spark, sf_dir):
     r"SELECT doc_id, nullif(regexp_extract(text, '\d{4} [A-Za-z]{2}'), '') AS postcode FROM documents",
 )
 def postcode(spark, sf_dir):
-    return spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", values.postcode(TEXT).alias("postcode"))
+    return spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", values.postcode(F.col("text")).alias("postcode"))
 
 
 @query(
@@ -199,7 +198,7 @@ def location(spark, sf_dir):
 )
 def integer(spark, sf_dir):
     return price_texts(spark, sf_dir).select(
-        "o_orderkey", values.integer(values.numeric_token(F.regexp_replace(TEXT, r"^[^:]*:", ""))).alias("amount")
+        "o_orderkey", values.integer(values.numeric_token(F.regexp_replace(F.col("text"), r"^[^:]*:", ""))).alias("amount")
     )
 
 
@@ -209,7 +208,7 @@ def integer(spark, sf_dir):
 )
 def decimal(spark, sf_dir):
     return price_texts(spark, sf_dir).select(
-        "o_orderkey", values.truncated_decimal(values.numeric_token(F.regexp_replace(TEXT, r"^[^:]*:", ""))).alias("amount")
+        "o_orderkey", values.truncated_decimal(values.numeric_token(F.regexp_replace(F.col("text"), r"^[^:]*:", ""))).alias("amount")
     )
 
 
@@ -272,7 +271,7 @@ def typed_columns(spark, sf_dir):
     return source.select(
         "o_orderkey",
         *[
-            values.finished(values.typed(TEXT, k, {"urgent": "fast"}), k).alias(f"c_{k}")
+            values.finished(values.typed(F.col("text"), k, {"urgent": "fast"}), k).alias(f"c_{k}")
             for k in kinds
         ],
     )
