@@ -62,6 +62,22 @@ def test_identity_by_feature(spark, tmp_path):
     assert indexed(spark, path) == {("http://s.example/study/1", "one"), ("http://s.example/study/2", "two")}
 
 
+def test_last_record_of_a_url_is_indexed(spark, tmp_path):
+    corpus = [
+        ("http://s.example/", page("home", "/study/1")),
+        ("http://s.example/study/1?v=1", page("first")),
+        ("http://s.example/study/1?v=2", page("second")),
+        ("http://s.example/study/1?v=3", page("second")),
+    ]
+    pages = spark.createDataFrame(corpus, "url string, html string")
+    path, files = str(tmp_path / "index"), str(tmp_path / "files")
+    index_site(pages, site(equal_crawled_features=["url", "h"]), path, files, buckets=2)
+    rows = read_index(spark, path).collect()
+    assert [r.asDict() for r in rows] == [{"url": "http://s.example/study/1", "h": "second"}]
+    lines = [line for p in (tmp_path / "files" / "m").glob("*.json") for line in p.read_text().splitlines()]
+    assert len(lines) == 2
+
+
 def test_visit_budget_of_a_site(spark, tmp_path):
     pages = spark.createDataFrame(CORPUS, "url string, html string")
     path = str(tmp_path / "index")

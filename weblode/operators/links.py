@@ -13,6 +13,11 @@ from weblode.functions.core import any_rlike
 PLAIN_HREF = r'<a\s[^>]*?href="([^"]*)"'
 
 
+def link_hrefs(nodes: Column) -> Column:
+    """The href of every ``<a>`` in order, NULL where it has none."""
+    return F.transform(F.filter(nodes, lambda n: n["tag"] == "a"), lambda n: n["attrs"]["href"])
+
+
 def hrefs(pages: DataFrame, *keys: str, plain: bool = False) -> DataFrame:
     """(keys, position in page, href) of every ``<a>`` with a non-empty href.
 
@@ -24,7 +29,7 @@ def hrefs(pages: DataFrame, *keys: str, plain: bool = False) -> DataFrame:
         source = pages
     else:
         source = dom.with_nodes(pages, tags=["a"])
-        found = F.transform(F.col("nodes"), lambda n: n["attrs"]["href"])
+        found = link_hrefs(F.col("nodes"))
     return source.select(*keys, F.posexplode(found).alias("pos", "href")).where(F.col("href") != "")
 
 
@@ -51,16 +56,15 @@ def valid_links(found: DataFrame, keep_parameters: bool, page_url: str = "src_ur
     return absolute.where(urls.is_valid(F.col("url")))
 
 
-def link_table(pages: DataFrame, site: Site, strict_host: bool = False, plain: bool = False) -> DataFrame:
+def judged_links(found: DataFrame, site: Site, strict_host: bool = False) -> DataFrame:
     """(src_url, url, internal, permitted) of every valid link that is not denied; all narrow steps.
 
-    ``internal`` marks links of the page's own site. Deny rules come before permit rules, and a link
-    that is not permitted is still followed.
+    ``found`` is (src_url, href). ``internal`` marks links of the page's own site. Deny rules come
+    before permit rules, and a link that is not permitted is still followed.
     """
-    found = hrefs(pages.select(F.col("url").alias("src_url"), "html"), "src_url", plain=plain)
     url = F.col("url")
     return (
-        valid_links(found, site.keep_parameters)
+        valid_links(found.where(F.col("href") != ""), site.keep_parameters)
         .where(~denied(url, site.denied))
         .select(
             "src_url",
@@ -71,6 +75,12 @@ def link_table(pages: DataFrame, site: Site, strict_host: bool = False, plain: b
     )
 
 
+def link_table(pages: DataFrame, site: Site, strict_host: bool = False, plain: bool = False) -> DataFrame:
+    """The judged links of stored pages (``url``, ``html``)."""
+    found = hrefs(pages.select(F.col("url").alias("src_url"), "html"), "src_url", plain=plain)
+    return judged_links(found, site, strict_host)
+
+
 def new_links(links: DataFrame, visited: DataFrame) -> DataFrame:
     """Distinct link URLs that were not seen before."""
     return links.select("url").distinct().join(visited.select("url").distinct(), "url", "left_anti")

@@ -7,41 +7,74 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weblode.config import Site
+from weblode.config import Feature, Site
 from weblode.functions import dom, urls, values
 from weblode.operators.extract import feature_text, feature_value, has_body, needed_nodes
+from weblode.operators.links import link_hrefs
 from weblode.operators.places import locate
 
+BODY, HREFS = "page_has_body", "page_hrefs"
 
-def page_records(
+
+def place_features(site: Site) -> list[Feature]:
+    return [f for f in site.features if f.datatype == "location" and not f.static_value]
+
+
+def read_features(
     pages: DataFrame,
     site: Site,
     countries: Sequence[tuple[str, str]] = (),
-    gazetteer: DataFrame | None = None,
     keep: Sequence[str] = (),
+    with_links: bool = False,
 ) -> DataFrame:
-    """One record per page that has a body: ``url`` and every configured feature, in order.
+    """Per page: the kept columns, ``url``, whether it has a body, its links if asked for, every feature.
 
-    A single narrow stage from the page scan to the record; only a location feature adds a join.
+    Everything a page is parsed for comes from one parse, in one narrow stage. Location features
+    are still the text to be looked up.
     """
     tags, text_tags = needed_nodes(site.features)
-    parsed = dom.with_nodes(pages.select(*keep, "url", "html"), tags, text_tags).where(has_body(F.col("nodes")))
-    html, nodes = F.col("html"), F.col("nodes")
-    places = [f for f in site.features if f.datatype == "location" and not f.static_value and gazetteer is not None]
+    if with_links and tags is not None:
+        tags = tags | {"a"}
+    parsed = dom.with_nodes(pages.select(*keep, "url", "html"), tags, text_tags)
+    html, nodes, places = F.col("html"), F.col("nodes"), place_features(site)
     url = F.col("url") if site.keep_parameters_for_indexing else urls.strip_parameters(F.col("url"))
     columns = [
-        (
-            feature_text(f, html, nodes, countries)
-            if f in places
-            else feature_value(f, html, nodes, countries, site.all_array)
-        ).alias(f.name)
+        feature_text(f, html, nodes, countries)
+        if f in places
+        else feature_value(f, html, nodes, countries, site.all_array)
         for f in site.features
     ]
-    records = parsed.select(*keep, url.alias("url"), *columns)
-    for f in places:
-        records = locate(records, f.name, gazetteer)
+    return parsed.select(
+        *keep,
+        url.alias("url"),
+        has_body(nodes).alias(BODY),
+        *([link_hrefs(nodes).alias(HREFS)] if with_links else []),
+        *[c.alias(f.name) for c, f in zip(columns, site.features)],
+    )
+
+
+def to_records(read: DataFrame, site: Site, gazetteer: DataFrame | None = None) -> DataFrame:
+    """The pages with a body as records; location features are looked up if there is a gazetteer."""
+    records = read.where(BODY).drop(BODY, HREFS)
+    for f in place_features(site):
+        if gazetteer is not None:
+            records = locate(records, f.name, gazetteer)
         found = values.finished(
             F.col(f.name), f.datatype, f.removal_patterns, f.extraction_patterns, site.all_array
         )
         records = records.withColumn(f.name, found)
     return records.withColumn("url", F.array("url")) if site.all_array else records
+
+
+def page_records(
+    pages: DataFrame,
+    site: Site,
+    countries: Sequence[tuple[str, str]] = (),
+    gazetteer: DataFrame | None = None,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """One record per page that has a body: ``url`` and every configured feature, in order.
+
+    A single narrow stage from the page scan to the record; only a location feature adds a join.
+    """
+    return to_records(read_features(pages, site, countries, keep), site, gazetteer)

@@ -13,7 +13,7 @@ from weblode.functions import urls
 from weblode.operators import frontier, links, records
 from weblode.operators.index import read_index, upsert
 from weblode.operators.joins import hot_keys, looked_up
-from weblode.plans.records import page_records
+from weblode.plans.records import HREFS, read_features, to_records
 from weblode.session import stored, work_path
 from weblode.sources.writers import write_csv, write_json
 
@@ -75,20 +75,24 @@ def index_site(
     Returns the crawl summary.
     """
     spark = pages.sparkSession
-    found = stored(links.link_table(pages, site), work_path(spark, "links"))
-    targets = discovered(found, site, max_visits)
     page_url = F.col("url") if site.keep_parameters else urls.strip_parameters(F.col("url"))
-    keyed = pages.select(page_url.alias("page_url"), "url", "html")
-    # Extraction comes before the join, so that markup is never shuffled.
-    extracted = page_records(keyed, site, countries, gazetteer, keep=["page_url"])
+    keyed = pages.select(F.col("url").alias("src_url"), page_url.alias("page_url"), "url", "html")
+    # Each page is parsed once, for its links and its features; markup goes no further than this table.
+    read = read_features(keyed, site, countries, keep=["src_url", "page_url"], with_links=True)
+    read = stored(read, work_path(spark, "pages"))
+    hrefs = read.select("src_url", F.explode(HREFS).alias("href"))
+    found = stored(links.judged_links(hrefs, site), work_path(spark, "links"))
+    targets = discovered(found, site, max_visits)
     # One URL may stand for many pages once its parameters are dropped.
-    hot = hot_keys(keyed.select("page_url"), ["page_url"])
-    found_at = looked_up(extracted, targets.withColumnRenamed("url", "page_url"), ["page_url"], "found_at", hot)
-    wanted = found_at.where(F.col("found_at").isNotNull()).drop("page_url")
-    new = new_records(wanted, site, index_path, ["found_at", "url"])
-    fresh = stored(new.drop("found_at"), work_path(spark, "records"))
-    save_files(fresh, site, files_path)
-    upsert_records(fresh, site, index_path, buckets)
+    hot = hot_keys(read.select("page_url"), ["page_url"])
+    reached = looked_up(
+        read.drop(HREFS), targets.withColumnRenamed("url", "page_url"), ["page_url"], "found_at", hot
+    )
+    wanted = to_records(reached.where(F.col("found_at").isNotNull()).drop("page_url"), site, gazetteer)
+    arrival = ["found_at", "src_url"]
+    fresh = stored(new_records(wanted, site, index_path, arrival), work_path(spark, "records"))
+    save_files(fresh.drop(*arrival), site, files_path)
+    upsert_records(fresh, site, index_path, arrival, buckets)
     return frontier.crawl_summary(found, max_visits or frontier.MAX_VISITS)
 
 
@@ -107,10 +111,19 @@ def save_files(fresh: DataFrame, site: Site, files_path: str | None, mode: str =
 
 
 def upsert_records(
-    fresh: DataFrame, site: Site, index_path: str, buckets: int = 64, batch: str | None = None
+    fresh: DataFrame,
+    site: Site,
+    index_path: str,
+    arrival: Sequence[str] = (),
+    buckets: int = 64,
+    batch: str | None = None,
 ) -> None:
-    if site.all_array:
-        keyed = fresh.withColumn("id", records.scalar(fresh, "url"))
-        upsert(index_path, keyed, "id", buckets=buckets, batch=batch)
-    else:
-        upsert(index_path, fresh, "url", buckets=buckets, batch=batch)
+    """Put new records into the index by URL; ``arrival`` columns order them and are not indexed.
+
+    Records that differ in another identity feature may share a URL; the last to arrive is indexed.
+    """
+    key = "id" if site.all_array else "url"
+    keyed = fresh.withColumn("id", records.scalar(fresh, "url")) if site.all_array else fresh
+    if set(site.identity) != {"url"}:
+        keyed = records.last_of_each(keyed, key, list(arrival) or [key])
+    upsert(index_path, keyed.drop(*arrival), key, buckets=buckets, batch=batch)

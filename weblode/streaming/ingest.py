@@ -38,16 +38,15 @@ def ingest_stream(
     def ingest(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         kept = f"{index_path}/batches/{batch_id}"
+        extra = [c for c in arrival if c != "url"]
         if read_table(spark, f"{kept}/done") is None:
-            extra = [c for c in arrival if c != "url"]
             extracted = page_records(batch, site, countries, gazetteer, keep=extra)
-            fresh = new_records(extracted, site, index_path, arrival).drop(*extra)
-            fresh.write.mode("overwrite").parquet(f"{kept}/records")
+            new_records(extracted, site, index_path, arrival).write.mode("overwrite").parquet(f"{kept}/records")
             spark.range(1).write.mode("overwrite").parquet(f"{kept}/done")
         fresh = spark.read.parquet(f"{kept}/records")
         if files_path:
-            save_files(fresh, site, f"{files_path}/batch-{batch_id}", mode="overwrite")
-        upsert_records(fresh, site, index_path, buckets, batch=str(batch_id))
+            save_files(fresh.drop(*extra), site, f"{files_path}/batch-{batch_id}", mode="overwrite")
+        upsert_records(fresh, site, index_path, extra, buckets, batch=str(batch_id))
 
     return (
         pages.writeStream.foreachBatch(ingest)
