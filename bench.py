@@ -26,6 +26,7 @@ HEADLINE = (
     "h10_json_path",
     "h15_precedence",
     "h17_page_records",
+    "h17_site_index",
     "v6_category_votes",
     "v8_location",
     "v14_typed_columns",
@@ -47,6 +48,7 @@ def main() -> None:
         .appName("weblode-bench")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")

@@ -78,6 +78,15 @@ def test_last_record_of_a_url_is_indexed(spark, tmp_path):
     assert len(lines) == 2
 
 
+def test_seed_is_indexed_if_a_page_links_to_it(spark, tmp_path):
+    pages = spark.createDataFrame(CORPUS, "url string, html string")
+    path = str(tmp_path / "index")
+    index_site(pages, site(permitted_urls_rules=["example/(list)?$"]), path, buckets=2)
+    assert indexed(spark, path) == {("http://s.example/", "home"), ("http://s.example/list", "list")}
+    index_site(pages, site(permitted_urls_rules=["example/(list)?$"]), str(tmp_path / "one"), max_visits=1, buckets=2)
+    assert indexed(spark, str(tmp_path / "one")) == {("http://s.example/list", "list")}
+
+
 def test_visit_budget_of_a_site(spark, tmp_path):
     pages = spark.createDataFrame(CORPUS, "url string, html string")
     path = str(tmp_path / "index")

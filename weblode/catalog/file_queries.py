@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,12 +16,13 @@ from weblode.catalog.index_queries import (
     sql_canonical,
     sql_enumeration,
 )
-from weblode.catalog.page_queries import RECORD, SQL_RECORDS
-from weblode.catalog.registry import query, spread_table, table
-from weblode.config import DecisionModel
+from weblode.catalog.page_queries import RECORD, sql_normal, sql_records, sql_text
+from weblode.catalog.registry import pages, query, spread_table, table
+from weblode.config import SITE_KEYS, DecisionModel, Site
 from weblode.operators import vocabulary
 from weblode.operators.index import read_index
 from weblode.plans.loads import load_model_index, reingest
+from weblode.plans.site import index_site
 from weblode.session import work_path
 from weblode.sources import readers, writers
 from weblode.streaming.ingest import ingest_stream, read_page_stream
@@ -239,23 +242,27 @@ def land_pages(spark, sf_dir, copies: int):
     return landing, source.schema
 
 
+# Which of two pages arrives first is not defined across files, so addresses are kept whole: they are distinct.
+WHOLE_URLS = replace(RECORD, keep_parameters_for_indexing=True)
+
+
 def drained(spark, sf_dir, files_path=None):
     landing, schema = land_pages(spark, sf_dir, copies=2)
     target = work_path(spark, "index")
     stream = read_page_stream(spark, landing, schema, files_per_batch=2)
     ingest_stream(
-        stream, RECORD, target, f"{target}/checkpoint", files_path, arrival=["page_id", "url"], buckets=8
+        stream, WHOLE_URLS, target, f"{target}/checkpoint", files_path, arrival=["page_id", "url"], buckets=8
     ).awaitTermination()
     return target
 
 
-@query("t1_stream_ingest", SQL_RECORDS)
+@query("t1_stream_ingest", sql_records("url"))
 def stream_ingest(spark, sf_dir):
     """Pages arriving twice, in micro-batches: the index holds each record once."""
     return read_index(spark, drained(spark, sf_dir))
 
 
-@query("t2_stream_files", "SELECT url, coalesce(heading, 'N/A') AS heading FROM (" + SQL_RECORDS + ")")
+@query("t2_stream_files", "SELECT url, coalesce(heading, 'N/A') AS heading FROM (" + sql_records("url") + ")")
 def stream_files(spark, sf_dir):
     """CSV rows appended while the stream is drained."""
     files = work_path(spark, "files")
@@ -263,3 +270,47 @@ def stream_files(spark, sf_dir):
     schema = T.StructType().add("url", T.StringType()).add("heading", T.StringType())
     options = spark.read.schema(schema).option("escape", '"').option("recursiveFileLookup", True)
     return options.option("pathGlobFilter", "*.csv").csv(files)
+
+
+SITE = Site.parse(
+    "site",
+    {
+        **{key: [] for key in SITE_KEYS},
+        "seed": "https://site.example/p/0",
+        "permitted_urls_rules": ["/p/"],
+        "denied_urls_rules": ["/p/[0-9]*7$"],
+        "keep_parameters": False,
+        "keep_parameters_for_indexing": False,
+        "start_page_counter_from": 1,
+        "equal_crawled_features": ["url", "title"],
+        "decision_model": "site",
+        "allArray": False,
+        "features": {
+            "title": {"tag": "title", "cssClass": "", "datatype": "string"},
+            "advert": {"tag": "div", "cssClass": "ad", "datatype": "other"},
+        },
+    },
+)
+
+
+@query(
+    "h17_site_index",
+    f"""
+    WITH RECURSIVE reached AS (
+      SELECT CAST(0 AS BIGINT) AS id
+      UNION
+      SELECT c.page_id FROM reached JOIN pages c ON c.page_id IN (2 * id + 1, 2 * id + 2)
+      WHERE NOT regexp_matches('/p/' || c.page_id, '/p/[0-9]*7$'))
+    SELECT 'https://site.example/p/' || page_id AS url, {sql_normal(sql_text("html", "<title>", "</title>"))} AS title,
+           {sql_text("html", '<div class="ad">', "</div>")} AS advert
+    FROM pages JOIN reached ON id = page_id WHERE page_id > 0
+    """,
+)
+def site_index(spark, sf_dir):
+    """The whole job on one site: every page links to its two children in a tree over the pages."""
+    own, path = F.col("page_id"), work_path(spark, "index")
+    address = F.concat(F.lit("https://site.example/p/"), own)
+    children = [F.concat(F.lit('<a href="/p/'), 2 * own + i, F.lit('">next</a>')) for i in (1, 2)]
+    linked = pages(spark, sf_dir).select(address.alias("url"), F.concat("html", *children).alias("html"))
+    index_site(linked, SITE, path, buckets=8)
+    return read_index(spark, path)

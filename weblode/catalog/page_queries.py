@@ -333,12 +333,13 @@ def sql_normal(text: str) -> str:
     )
 
 
-SQL_RECORDS = f"""
+def sql_records(url: str) -> str:
+    return f"""
 WITH {SQL_ITEMS},
 near AS (SELECT *, lag(a) OVER (PARTITION BY page_id ORDER BY i) AS prev_a FROM parts),
 hits AS (SELECT page_id, min_by(text, i) AS item FROM near WHERE contains(prev_a, 'th') GROUP BY page_id),
 records AS (
-  SELECT page_id, {sql_strip("url")} AS url,
+  SELECT page_id, {url} AS url,
          {sql_normal(sql_text("html", "<title>", "</title>"))} AS title,
          {sql_normal(sql_text("html", "<h1>", "</h1>"))} AS heading,
          replace({sql_normal(sql_text("html", '<div class="ad">', "</div>"))}, 'The ', '') AS advert,
@@ -353,6 +354,9 @@ SELECT url, title, heading, advert, language, collection, item FROM kept
 """
 
 
+SQL_RECORDS = sql_records(sql_strip("url"))
+
+
 @query("h17_page_records", SQL_RECORDS)
 def page_record_table(spark, sf_dir):
     extracted = page_records(pages(spark, sf_dir), RECORD, keep=["page_id"])

@@ -49,17 +49,25 @@ def discovered(found: DataFrame, site: Site, max_visits: int | None) -> DataFram
     else:
         source = F.col("src_url") if site.keep_parameters else urls.strip_parameters(F.col("src_url"))
         edges = found.where("internal").select(source.alias("src_url"), "url")
-        seed = site.seed
         spark = found.sparkSession
-        seeds = spark.range(1).select(F.lit(seed).alias("url"))
+        seeds = spark.range(1).select(F.lit(site.seed).alias("url"))
         if not site.keep_parameters:
             seeds = seeds.select(urls.strip_parameters(F.col("url")).alias("url"))
         walked = frontier.crawl_order(edges, seeds, max_visits)
-        reached = walked.where("depth > 0").select("url", F.struct(F.lit(0).alias("template"), F.col("depth").alias("k")).alias("found_at"))
+        reached = walked.where("depth > 0").select("url", "depth").unionByName(linked_seeds(edges, walked))
+        reached = reached.select("url", F.struct(F.lit(0).alias("template"), F.col("depth").alias("k")).alias("found_at"))
     allowed = reached.where(links.permitted(F.col("url"), site.permitted))
     return allowed.groupBy(urls.clean_entities(F.col("url")).alias("url")).agg(F.min("found_at").alias("found_at"))
 
 
+def linked_seeds(edges: DataFrame, walked: DataFrame) -> DataFrame:
+    """(url, depth) of the seeds that visited pages link back to: such a link is as new as any other."""
+    seeds = walked.where("depth = 0").select("url")
+    sources = walked.where("visited").select(F.col("url").alias("src_url"), "depth")
+    back = edges.join(seeds, "url", "left_semi").join(sources, "src_url")
+    return back.groupBy("url").agg((F.min("depth") + 1).cast("int").alias("depth"))
+
+
 def index_site(
     pages: DataFrame,
     site: Site,
