@@ -15,8 +15,9 @@ from weblode.plans.records import page_records
 
 
 def sql_unescape(text: str) -> str:
+    """These entities also count without their semicolon, as at the end of a text that was cut."""
     for entity, char in (("quot", '"'), ("middot", "·"), ("copy", "©"), ("lt", "<"), ("gt", ">"), ("amp", "&")):
-        text = f"replace({text}, '&{entity};', '{char}')"
+        text = f"regexp_replace({text}, '&{entity};?', '{char}', 'g')"
     return text
 
 
