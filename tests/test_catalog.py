@@ -57,3 +57,9 @@ print("rows", contract.entry(spark).count())
 """
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert "rows " in done.stdout, done.stderr[-2000:]
+
+
+@pytest.mark.parametrize("name", ["u7_link_table", "d1_not_indexed", "d7_presence", "v6_category_votes", "h17_page_records", "c7_vocabulary"])
+def test_plans_have_no_nested_loops(spark, name):
+    plan = entry.queries()[name](spark, BASE)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan

@@ -121,3 +121,10 @@ def test_parsing_happens_once(spark):
     frame = dom.with_nodes(page).where(F.size("nodes") > 0).select("url", F.size("nodes"), F.element_at("nodes", 1))
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_entities_are_read_as_a_browser_would(spark):
+    html = "<p>a&ampb &lt;i&gt &copy; &nosuch; &#233;&eacute</p><a href='/x?a=1&amp;b=2&amp;amp;c=3'>l</a>"
+    nodes = nodes_of(spark, html)
+    assert [n["text"] for n in nodes if n["kind"] == "text"] == ["a&b <i> © &nosuch; éé", "l"]
+    assert [n["attrs"]["href"] for n in nodes if n["tag"] == "a"] == ["/x?a=1&b=2&amp;c=3"]

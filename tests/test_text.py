@@ -1,6 +1,5 @@
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from weblode.functions import text as X
 from weblode.operators import vocabulary

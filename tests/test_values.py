@@ -1,7 +1,6 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from weblode.functions import values as V
 from weblode.functions.countries import iso_countries

@@ -6,7 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from weblode.catalog.registry import pages, query, spread_table, table
+from weblode.catalog.registry import pages, query, spread_table
 from weblode.catalog.url_queries import sql_strip
 from weblode.config import Anchor, Feature, Site
 from weblode.functions import dom
