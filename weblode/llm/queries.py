@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weblode.llm import content_sort, decontaminate, host_graph, shards, simhash
+from weblode.llm import bpe, chat, content_sort, decontaminate, host_graph, quality, shards, simhash
 from weblode.llm.common import text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_byte_network")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    network = quality.trained(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs, network).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
 @query("op2_shuffled_shards")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.shuffled_shards(table(spark, sf_dir, "documents"), shards=8, stable=True)
@@ -101,11 +108,49 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary; a parameter of the operator, named here for the query."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op5_speculative_bpe")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digests(bpe.encoded(docs, tokenizer_path()))
+
+
 @query("op7_host_graph", host_graph.oracle())
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_graph.judged_pages(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+# A question is a call of the tool that answered it; it needs the answer to the question before.
+ANSWER_SCHEMA = {
+    "type": "object",
+    "required": ["text", "turn"],
+    "properties": {"text": {"type": "string", "minLength": 1}, "turn": {"type": "integer", "minimum": 0}},
+    "additionalProperties": False,
+}
+
+
+@query("op8_tool_calls")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    call_id = F.concat_ws("-", "conv_id", F.col("turn").cast("string"))
+    asked = turns.where("role = 'user'")
+    calls = asked.select(
+        "conv_id", "turn", F.lit(1).alias("position"), call_id.alias("call_id"), F.lit("answer").alias("name"),
+        F.to_json(F.struct("turn", "text")).alias("arguments"),
+        F.array(F.concat_ws("-", "conv_id", (F.col("turn") - 2).cast("string"))).alias("needs"),
+    )
+    answers = turns.where("role = 'assistant'")
+    results = answers.select(F.concat_ws("-", "conv_id", (F.col("turn") - 1).cast("string")).alias("call_id"), "turn", F.col("text").alias("content"))
+    messages = turns.where("role is null or role <> 'assistant'").select("conv_id", "turn", "role", F.col("text").alias("content"))
+    return chat.chat_lines(messages, calls, results, {"answer": ANSWER_SCHEMA})
+
+
 @query("op10_simhash_pivots")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
