@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weblode.llm import bpe, chat, content_sort, decontaminate, host_graph, quality, shards, simhash
+from weblode.llm import bpe, chat, content_sort, decontaminate, host_graph, quality, shards, simhash, suffixes
 from weblode.llm.common import text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,6 +151,19 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_lines(messages, calls, results, {"answer": ANSWER_SCHEMA})
 
 
+@query("op9_interval_expansion")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.without_repeats(table(spark, sf_dir, "documents"), stable=True)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["stop"] - s["start"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op10_simhash_pivots")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
