@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weblode.llm import bpe, chat, content_sort, decontaminate, host_graph, quality, shards, simhash, suffixes
+from weblode.llm import bpe, chat, content_sort, decontaminate, host_graph, lm, quality, shards, simhash, suffixes
 from weblode.llm.common import text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,6 +121,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encoded(docs, tokenizer_path()))
 
 
+@query("op6_kneser_ney")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm.scored(table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op7_host_graph", host_graph.oracle())
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_graph.judged_pages(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
