@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from weblode.catalog import load  # noqa: E402
+from weblode.session import name_work_root  # noqa: E402
 
 HEADLINE = (
     "u3_link_extraction",
@@ -55,6 +57,8 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        name_work_root(tempfile.mkdtemp(prefix="bench-"))
     queries = load()[0]
     # Start the JVM's and the Python workers' machinery outside the measurements.
     queries["h2_titles"](spark, sf_dir).write.format("noop").mode("overwrite").save()

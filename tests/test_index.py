@@ -33,25 +33,66 @@ def test_last_of_a_batch_wins(spark, tmp_path):
     assert content(spark, path) == [("a", 2)]
 
 
-def test_interrupted_batch_is_mended_by_running_it_again(spark, tmp_path):
+def test_commit_that_dies_halfway_changes_nothing(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "index")
     index.upsert(path, docs(spark, [("a", 1), ("b", 2), ("c", 3)]), "url", buckets=1)
-    index.upsert(path, docs(spark, [("b", 20)]), "url", buckets=1, batch="7")
-    # As if the overwrite had removed the bucket and then failed.
-    spark.createDataFrame([("x", 0, 0)], "url string, n int, bucket int").write.mode("overwrite").partitionBy(
-        "bucket"
-    ).parquet(f"{path}/documents")
-    index.upsert(path, docs(spark, [("b", 20)]), "url", buckets=1, batch="7")
-    assert content(spark, path) == [("a", 1), ("b", 20), ("c", 3)]
+    with monkeypatch.context() as broken:
+        changes = docs(spark, [("b", 20), ("d", 4)])
+        broken.setattr(index, "log_row", lambda *_: 1 / 0)  # after the data, before the log
+        with pytest.raises(ZeroDivisionError):
+            index.upsert(path, changes, "url", buckets=1, batch="7")
+    assert len(list((tmp_path / "index" / "data").iterdir())) == 2
+    assert content(spark, path) == [("a", 1), ("b", 2), ("c", 3)]
+    for _ in range(2):
+        index.upsert(path, docs(spark, [("b", 20), ("d", 4)]), "url", buckets=1, batch="7")
+    assert content(spark, path) == [("a", 1), ("b", 20), ("c", 3), ("d", 4)] and index.read_state(spark, path).version == 2
+
+
+def test_repeated_batch_does_not_rewind_later_ones(spark, tmp_path):
+    path = str(tmp_path / "index")
+    index.upsert(path, docs(spark, [("a", 1)]), "url", buckets=1, batch="x-0")
+    index.upsert(path, docs(spark, [("a", 2), ("b", 2)]), "url", buckets=1, batch="x-1")
+    index.upsert(path, docs(spark, [("a", 1)]), "url", buckets=1, batch="x-0")
+    assert content(spark, path) == [("a", 2), ("b", 2)]
 
 
 def test_untouched_buckets_are_not_rewritten(spark, tmp_path):
-    path = tmp_path / "index"
-    index.upsert(str(path), docs(spark, [(f"u{i}", i) for i in range(50)]), "url", buckets=16)
-    before = {(p.parent.name, p.name) for p in (path / "documents").rglob("*.parquet")}
-    index.upsert(str(path), docs(spark, [("u1", 100)]), "url", buckets=16)
-    after = {(p.parent.name, p.name) for p in (path / "documents").rglob("*.parquet")}
-    assert len(before - after) == 1 and len(before & after) == len(before) - 1
+    path = str(tmp_path / "index")
+    index.upsert(path, docs(spark, [(f"u{i}", i) for i in range(50)]), "url", buckets=16)
+    before = index.read_state(spark, path).buckets
+    index.upsert(path, docs(spark, [("u1", 100)]), "url", buckets=16)
+    after = index.read_state(spark, path).buckets
+    assert sum(before[b] != after[b] for b in before) == 1 and before.keys() == after.keys()
+
+
+def test_new_records_are_added_as_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(index, "MOST_PARTS", 3)
+    path = str(tmp_path / "index")
+    for i in range(5):
+        index.upsert(path, docs(spark, [(f"u{i}", i)]), "url", buckets=1, only_new=True)
+    assert content(spark, path) == [(f"u{i}", i) for i in range(5)]
+    assert len(index.read_state(spark, path).buckets[0]) == 2  # three parts were put together with the fourth
+
+
+def test_new_columns_and_types_that_do_not_fit(spark, tmp_path):
+    path = str(tmp_path / "index")
+    index.upsert(path, docs(spark, [("a", 1), ("b", 2)]), "url", buckets=2)
+    index.upsert(path, spark.createDataFrame([("b", "x", 5), ("c", "7", 6)], "url string, n string, m int"), "url", buckets=2)
+    index.upsert(path, spark.createDataFrame([("d", [1])], "url string, n array<int>"), "url", buckets=2)
+    index.upsert(path, docs(spark, [("a", 9)]), "url", buckets=2)
+    rows = index.read_index(spark, path)
+    assert rows.schema.simpleString() == "struct<url:string,n:int,m:int>"
+    assert sorted(map(tuple, rows.collect())) == [("a", 9, None), ("b", None, 5), ("c", 7, 6), ("d", None, None)]
+
+
+def test_ties_are_settled_by_the_row(spark):
+    rows = [("k", 1, v) for v in range(20)]
+    want = None
+    for parts in (1, 7):
+        frame = spark.createDataFrame(rows, "k string, at int, v int").repartition(parts)
+        got = [records.first_of_each(frame, ["k"], ["at"]).first()["v"], records.last_of_each(frame, "k", ["at"]).first()["v"]]
+        assert want in (None, got)
+        want = got
 
 
 @pytest.mark.parametrize("partitions", ["1", "64"])

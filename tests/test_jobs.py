@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from weblode.config import Site
 from weblode.operators.index import read_index
 from weblode.plans.site import counter_of, index_site
@@ -45,13 +47,13 @@ def test_site_is_walked_and_indexed(spark, tmp_path):
     path, files = str(tmp_path / "index"), str(tmp_path / "files")
     summary = index_site(pages, site(), path, files, buckets=4).first().asDict()
     assert indexed(spark, path) == {("http://s.example/study/1", "one"), ("http://s.example/study/2", "two"), ("http://s.example/study/3", "two")}
-    assert summary["external"] == 1 and summary["max_urls"] == 999_999
-    lines = [json.loads(line) for p in (tmp_path / "files" / "m").glob("*.json") for line in p.read_text().splitlines()]
+    assert summary == {"internal": 6, "external": 1, "permitted": 4, "total": 7, "max_urls": None, "cut": False}
+    lines = [json.loads(line) for p in (tmp_path / "files").rglob("*.json") for line in p.read_text().splitlines()]
     assert len(lines) == 3 and set(lines[0]) == {"url", "h"}
     # Nothing is new the second time.
     index_site(pages, site(), path, files, buckets=4)
     assert len(indexed(spark, path)) == 3
-    lines = [line for p in (tmp_path / "files" / "m").glob("*.json") for line in p.read_text().splitlines()]
+    lines = [line for p in (tmp_path / "files").rglob("*.json") for line in p.read_text().splitlines()]
     assert len(lines) == 3
 
 
@@ -74,7 +76,7 @@ def test_last_record_of_a_url_is_indexed(spark, tmp_path):
     index_site(pages, site(equal_crawled_features=["url", "h"]), path, files, buckets=2)
     rows = read_index(spark, path).collect()
     assert [r.asDict() for r in rows] == [{"url": "http://s.example/study/1", "h": "second"}]
-    lines = [line for p in (tmp_path / "files" / "m").glob("*.json") for line in p.read_text().splitlines()]
+    lines = [line for p in (tmp_path / "files").rglob("*.json") for line in p.read_text().splitlines()]
     assert len(lines) == 2
 
 
@@ -90,8 +92,25 @@ def test_seed_is_indexed_if_a_page_links_to_it(spark, tmp_path):
 def test_visit_budget_of_a_site(spark, tmp_path):
     pages = spark.createDataFrame(CORPUS, "url string, html string")
     path = str(tmp_path / "index")
-    index_site(pages, site(), path, max_visits=1, buckets=4)
+    summary = index_site(pages, site(), path, max_visits=1, buckets=4).first()
     assert indexed(spark, path) == {("http://s.example/study/1", "one")}
+    assert summary["cut"] and summary["max_urls"] == 1 and summary["internal"] == 2
+
+
+def test_doubled_ampersands_in_stored_addresses(spark, tmp_path):
+    corpus = [("http://s.example/", page("home", "/study/1?a=1&amp;amp;b=2")), ("http://s.example/study/1?a=1&amp;b=2", page("one"))]
+    pages = spark.createDataFrame(corpus, "url string, html string")
+    kept = site(keep_parameters=True, keep_parameters_for_indexing=True)
+    index_site(pages, kept, str(tmp_path / "index"), buckets=2)
+    assert len(indexed(spark, str(tmp_path / "index"))) == 1
+
+
+def test_places_and_countries_are_never_passed_through(spark, tmp_path):
+    pages = spark.createDataFrame([("http://s.example/", page("home", "/study/1")), ("http://s.example/study/1", page("in France today"))], "url string, html string")
+    index_site(pages, site(features={"h": {**HEADING, "datatype": "country"}}), str(tmp_path / "a"), buckets=2)
+    assert indexed(spark, str(tmp_path / "a")) == {("http://s.example/study/1", "France")}
+    with pytest.raises(ValueError, match="gazetteer"):
+        index_site(pages, site(features={"h": {**HEADING, "datatype": "location"}}), str(tmp_path / "b"), buckets=2)
 
 
 def test_counter_site(spark, tmp_path):
@@ -140,6 +159,16 @@ def test_stream_equals_batch_and_survives_replay(spark, tmp_path):
 
     first = saved()
     assert len(first) == len(want)
-    # A lost checkpoint replays every batch under its old number: nothing is added or lost.
+    # A lost checkpoint reads everything again: nothing is added or lost.
     drain("c2")
     assert indexed(spark, path) == want and saved() == first
+
+
+def test_second_stream_adds_to_the_index(spark, tmp_path):
+    path = str(tmp_path / "index")
+    for name, corpus in (("a", CORPUS[:4]), ("b", CORPUS[4:5])):
+        pages = spark.createDataFrame(corpus, "url string, html string")
+        pages.write.parquet(str(tmp_path / name))
+        stream = read_page_stream(spark, str(tmp_path / name), pages.schema)
+        ingest_stream(stream, site(), path, str(tmp_path / f"checkpoint-{name}"), buckets=4).awaitTermination()
+    assert {u for u, _ in indexed(spark, path)} == {u for u, _ in CORPUS[:5]}

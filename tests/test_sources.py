@@ -1,3 +1,4 @@
+import gzip
 import json
 
 from pyspark.sql import functions as F
@@ -14,10 +15,11 @@ def test_json_directory_at_any_depth(spark, tmp_path):
     (tmp_path / "a" / "b" / "1.json").write_text(json.dumps({"url": "u1", "n": 1}, indent=2))
     (tmp_path / "a" / "2.json").write_bytes(b'{"url": "caf\xff\xc3\xa9", "n": 2}')
     (tmp_path / "3.json").write_text('{"url": "u3", "extra": [1], "n": null}')
-    (tmp_path / "m.csv").write_text("u1,1\n")
+    (tmp_path / "4.txt").write_text('{"url": "u4", "n": 4}')
+    (tmp_path / "5.json.gz").write_bytes(gzip.compress(b'{"url": "u5", "n": 5}'))
     rows = readers.read_json_directory(spark, str(tmp_path), "url string, n int").collect()
-    assert {(r["url"], r["n"]) for r in rows} == {("u1", 1), ("café", 2), ("u3", None)}
-    assert all(r["file_path"].endswith(".json") for r in rows)
+    assert {(r["url"], r["n"]) for r in rows} == {("u1", 1), ("café", 2), ("u3", None), ("u4", 4), ("u5", 5)}
+    assert len({r["file_path"] for r in rows}) == 5
 
 
 def test_gazetteer_and_export(spark, tmp_path):
@@ -64,12 +66,18 @@ def test_raw_bytes_are_decoded(spark, tmp_path):
     assert readers.read_pages(spark, str(tmp_path / "p")).first()["html"] == "é"
 
 
-def test_large_input_is_not_redistributed(spark, tmp_path, monkeypatch):
-    spark.range(10).select(F.col("id").cast("string").alias("url"), F.lit("x").alias("html")).write.parquet(str(tmp_path / "p"))
-    plan = lambda: readers.read_pages(spark, str(tmp_path / "p"))._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" in plan()
-    monkeypatch.setattr(readers, "SPLIT_BYTES", 1)
-    assert "Exchange" not in plan()
+def test_last_record_of_a_file_is_taken(spark, tmp_path):
+    lines = [json.dumps({"url": f"u{i % 7}", "n": i}) for i in range(2000)]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "all.txt").write_text("\n".join(lines))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        reingest(spark, str(tmp_path / "in"), "url string, n int", "url", str(tmp_path / "index"), per_file=False)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    got = {r["url"]: r["n"] for r in read_index(spark, str(tmp_path / "index")).collect()}
+    assert got == {f"u{i % 7}": i for i in range(2000)}
 
 
 def test_reingest_takes_the_last_file(spark, tmp_path):

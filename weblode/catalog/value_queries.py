@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weblode.catalog.page_queries import sql_normal
-from weblode.catalog.registry import query, spread_table, table
+from weblode.catalog.registry import query, table
 from weblode.functions import values
 from weblode.operators.places import locate
 
@@ -24,7 +24,7 @@ def price_texts(spark, sf_dir):
     text = F.concat(
         F.lit("total ("), "o_orderpriority", F.lit("): USD "), F.format_number("o_totalprice", 2), F.lit(" net.")
     )
-    return spread_table(spark, sf_dir, "orders", "o_orderkey").select("o_orderkey", text.alias("text"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.alias("text"))
 
 
 SQL_PRICES = (
@@ -40,12 +40,12 @@ def numeric_token(spark, sf_dir):
 
 @query("v1_numeric_token_documents", f"SELECT doc_id, {sql_token('text')} AS token FROM documents")
 def numeric_token_documents(spark, sf_dir):
-    return spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", values.numeric_token(F.col("text")).alias("token"))
+    return table(spark, sf_dir, "documents").select("doc_id", values.numeric_token(F.col("text")).alias("token"))
 
 
 @query("v2_normal_text", f"SELECT doc_id, {sql_normal('text')} AS text FROM documents")
 def normal_text(spark, sf_dir):
-    return spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", values.normal_text(F.col("text")).alias("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", values.normal_text(F.col("text")).alias("text"))
 
 
 def sql_date(text: str) -> str:
@@ -72,7 +72,7 @@ def date_text(spark, sf_dir):
     form = F.element_at(
         F.array(*[F.date_format("o_orderdate", f) for f in DATE_FORMATS]), (F.col("o_orderkey") % 7 + 1).cast("int")
     )
-    dated = spread_table(spark, sf_dir, "orders", "o_orderkey").select(
+    dated = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.concat(F.lit("on "), form, F.lit(" placed")).alias("text")
     )
     return dated.select("o_orderkey", values.date_text(F.col("text")).alias("date_text"))
@@ -80,7 +80,7 @@ def date_text(spark, sf_dir):
 
 @query("v3_date_documents", f"SELECT doc_id, {sql_date('text')} AS date_text FROM documents")
 def date_documents(spark, sf_dir):
-    return spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", values.date_text(F.col("text")).alias("date_text"))
+    return table(spark, sf_dir, "documents").select("doc_id", values.date_text(F.col("text")).alias("date_text"))
 
 
 SQL_ORIGINS = """
@@ -150,7 +150,7 @@ VOTES = {"th": "english", "ing": "english", "und": "german", "sch": "german", "q
     """,
 )
 def category_votes(spark, sf_dir):
-    return spread_table(spark, sf_dir, "documents", "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", values.category_by_votes(F.col("text"), VOTES).alias("category")
     )
 
@@ -160,7 +160,7 @@ def category_votes(spark, sf_dir):
     r"SELECT doc_id, nullif(regexp_extract(text, '\d{4} [A-Za-z]{2}'), '') AS postcode FROM documents",
 )
 def postcode(spark, sf_dir):
-    return spread_table(spark, sf_dir, "documents", "doc_id").select("doc_id", values.postcode(F.col("text")).alias("postcode"))
+    return table(spark, sf_dir, "documents").select("doc_id", values.postcode(F.col("text")).alias("postcode"))
 
 
 @query(
@@ -266,7 +266,7 @@ def typed_columns(spark, sf_dir):
         F.lit("USD "), price, F.lit("total ("), "o_orderpriority", F.lit("): USD "), price, F.lit(" net."),
         F.lit(" 1234 AB on "), F.date_format("o_orderdate", "d/M/yyyy"), F.lit("  .."),
     )
-    source = spread_table(spark, sf_dir, "orders", "o_orderkey").select("o_orderkey", text.alias("text"))
+    source = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("text"))
     kinds = ("currency", "decimal", "string", "date", "zipcode", "multivalue", "other")
     return source.select(
         "o_orderkey",

@@ -33,5 +33,14 @@ def any_contains(text: Column, needles: Iterable[str]) -> Column:
     return reduce(lambda a, b: a | b, (F.contains(text, F.lit(n)) for n in needles if n), F.lit(False))
 
 
+def first_of(choices: Iterable[tuple[Column, object]], default: str | None = None) -> Column:
+    """The value of the first condition that holds: one flat expression, however many there are."""
+    out = None
+    for condition, value in choices:
+        out = F.when(condition, value) if out is None else out.when(condition, value)
+    missing = F.lit(default).cast("string")
+    return missing if out is None else out.otherwise(missing)
+
+
 def blank_to_null(text: Column) -> Column:
     return let(text, lambda t: F.when(t != "", t))

@@ -1,60 +1,28 @@
-"""The default country table, built from the JVM's own list of ISO 3166 codes."""
+"""The default country table: the JVM's own English names of the ISO 3166 codes, as they are.
+
+They are everyday names ("Russia", "South Korea"), not the formal ones of the standard ("Russian Federation",
+"Korea, Republic of"), and may change with the JVM's locale data. Where other spellings must be found, give a
+table of your own: ``read_countries`` reads one.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import csv
+import io
 
-# Formal names, where they differ from the everyday English name.
-FORMAL_NAMES = {
-    "BN": "Brunei Darussalam",
-    "BO": "Bolivia, Plurinational State of",
-    "BQ": "Bonaire, Sint Eustatius and Saba",
-    "CD": "Congo, the Democratic Republic of the",
-    "CG": "Congo",
-    "CV": "Cape Verde",
-    "CZ": "Czech Republic",
-    "FK": "Falkland Islands (Malvinas)",
-    "FM": "Micronesia, Federated States of",
-    "GS": "South Georgia and the South Sandwich Islands",
-    "HK": "Hong Kong",
-    "HM": "Heard Island and McDonald Islands",
-    "IR": "Iran, Islamic Republic of",
-    "KP": "Korea, Democratic People's Republic of",
-    "KR": "Korea, Republic of",
-    "LA": "Lao People's Democratic Republic",
-    "MD": "Moldova, Republic of",
-    "MF": "Saint Martin (French part)",
-    "MK": "Macedonia, the former Yugoslav Republic of",
-    "MM": "Myanmar",
-    "MO": "Macao",
-    "PN": "Pitcairn",
-    "PS": "Palestine, State of",
-    "RU": "Russian Federation",
-    "SH": "Saint Helena, Ascension and Tristan da Cunha",
-    "ST": "Sao Tome and Principe",
-    "SX": "Sint Maarten (Dutch part)",
-    "SY": "Syrian Arab Republic",
-    "SZ": "Swaziland",
-    "TR": "Turkey",
-    "TW": "Taiwan, Province of China",
-    "TZ": "Tanzania, United Republic of",
-    "UM": "United States Minor Outlying Islands",
-    "VA": "Holy See (Vatican City State)",
-    "VC": "Saint Vincent and the Grenadines",
-    "VE": "Venezuela, Bolivarian Republic of",
-    "VG": "Virgin Islands, British",
-    "VI": "Virgin Islands, U.S.",
-    "VN": "Viet Nam",
-}
+from pyspark.sql import SparkSession
 
 
 def iso_countries(spark: SparkSession) -> list[tuple[str, str]]:
     """(name, alpha-2 code) in order of name."""
     locale = spark._jvm.java.util.Locale
+    return sorted((locale("", code).getDisplayCountry(locale.ENGLISH), code) for code in locale.getISOCountries())
+
 
-    def name(code):
-        everyday = locale("", code).getDisplayCountry(locale.ENGLISH)
-        spelled_out = everyday.replace(" & ", " and ").replace("St. ", "Saint ").replace("’", "'")
-        return FORMAL_NAMES.get(code, spelled_out)
+def read_countries(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(name, code) pairs of a CSV file without header, in the file's order of precedence.
 
-    return sorted((name(code), code) for code in locale.getISOCountries())
+    The table becomes part of the plan, so it has to be a list of countries, not of places.
+    """
+    lines = spark.read.text(path, wholetext=True).first()
+    return [(row[0], row[1]) for row in csv.reader(io.StringIO(lines["value"] if lines else "")) if len(row) >= 2]

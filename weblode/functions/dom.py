@@ -92,6 +92,12 @@ def text_of(nodes: Column, node: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(raw_text(nodes, node), r"\n+", "\n"), r"^\n|\n\z", "")
 
 
+def strip_tags(value: Column) -> Column:
+    """Text without markup and empty lines, for values that are not nodes."""
+    bare = F.regexp_replace(value, r"(?s)<!--.*?-->|</?[A-Za-z][^>]*>", "")
+    return F.regexp_replace(F.regexp_replace(bare, r"\n+", "\n"), r"^\n|\n\z", "")
+
+
 def markup_of(html: Column, node: Column) -> Column:
     """The node's source."""
     return F.substring(html, node["start"] + 1, node["stop"] - node["start"])

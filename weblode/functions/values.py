@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from weblode.functions.core import blank_to_null, java_pattern, let
+from weblode.functions.core import blank_to_null, first_of, java_pattern, let
 
 # The text given to a value that fits no category.
 OTHER_CATEGORY = "Other Category"
@@ -74,10 +74,8 @@ def category(text: Column, expected: Mapping[str, str]) -> Column:
     if not expected:
         return F.when(text.isNotNull(), F.lit(OTHER_CATEGORY))
     lowered = F.lower(text)
-    out = F.lit(OTHER_CATEGORY)
-    for key, value in reversed(list(expected.items())):
-        out = F.when(lowered.rlike(java_pattern(rf"\b{key.lower()}\b")), F.lit(value)).otherwise(out)
-    return F.when(text.isNotNull(), out)
+    found = ((lowered.rlike(java_pattern(rf"\b{key.lower()}\b")), value) for key, value in expected.items())
+    return F.when(text.isNotNull(), first_of(found, OTHER_CATEGORY))
 
 
 def category_by_votes(text: Column, expected: Mapping[str, str]) -> Column:
@@ -170,7 +168,9 @@ def typed(
     if datatype == "date":
         return date_text(text)
     if datatype == "country":
-        return country(text, countries) if countries else text
+        if not countries:
+            raise ValueError("a country feature needs a table of (name, code) pairs")
+        return country(text, countries)
     if datatype == "multivalue":
         return category(text, expected or {})
     if datatype == "zipcode":

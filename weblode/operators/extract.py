@@ -41,7 +41,10 @@ def elements_table(pages: DataFrame, selectors: Sequence[tuple[str, str | None]]
 
 def single_value(nodes: Column, element: Column, property_value: str) -> Column:
     """Attribute of the element if one is named (NULL if it lacks it), else its text."""
-    return element["attrs"][property_value] if property_value else dom.text_of(nodes, element)
+    if property_value:
+        # The attribute is text of its own: markup in it goes, as it goes from an element.
+        return dom.strip_tags(element["attrs"][property_value])
+    return dom.text_of(nodes, element)
 
 
 def anchor_holds(html: Column, found: Column, anchor: Anchor) -> tuple[Column, Column]:

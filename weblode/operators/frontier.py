@@ -47,7 +47,7 @@ def first_rows(frame: DataFrame, order: Sequence[str], n: int) -> DataFrame:
 
 
 def crawl_order(
-    edges: DataFrame, seeds: DataFrame, max_visits: int | None = MAX_VISITS
+    edges: DataFrame, seeds: DataFrame, max_visits: int | None = None
 ) -> DataFrame:
     """(url, depth) of every URL a breadth-first walk finds, each at its least depth.
 
@@ -145,8 +145,8 @@ def counter_walk(links: DataFrame, templates: int, start: int) -> tuple[DataFram
     return visited.select("at.template", "at.k", "url"), stops
 
 
-def crawl_summary(links: DataFrame, max_visits: int = MAX_VISITS) -> DataFrame:
-    """Distinct internal, external and permitted links, their total, and the visit limit."""
+def crawl_summary(links: DataFrame, max_visits: int | None = None) -> DataFrame:
+    """Distinct internal, external and permitted links, their total, and the visit limit (NULL if there is none)."""
     per_url = links.groupBy("url").agg(
         F.bool_or("internal").alias("internal"), F.bool_or(F.col("internal") & F.col("permitted")).alias("permitted")
     )

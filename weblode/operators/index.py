@@ -1,24 +1,56 @@
-"""The index: a parquet table in hash buckets of the document id, changed by upsert."""
+"""The index: parquet files in hash buckets of the document id, changed by commits.
+
+A commit writes its buckets into a folder of its own and then one row into the index's log: the schema, and
+for each bucket the folders that hold it. Readers take the newest row, so a commit that fails halfway
+leaves nothing but an unused folder. One job writes into an index at a time.
+"""
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weblode.operators.records import last_of_each
-from weblode.session import work_path
+from weblode.session import stored, work_path
 
 BUCKET = "bucket"
+LOG = "version long, batch string, schema string, buckets string"
+
+# A bucket that consists of more appended parts is put together when it is next written.
+MOST_PARTS = 16
+
+
+@dataclass(frozen=True)
+class State:
+    """What the newest commit says: its number, the schema, and the folders of each bucket."""
+
+    version: int = 0
+    schema: T.StructType | None = None
+    buckets: dict[int, list[str]] = field(default_factory=dict)
 
 
 def tolerant(records: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast columns to their mapped types; a value that does not fit becomes NULL, its row stays."""
-    return records.select(
-        *[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in records.columns]
-    )
+    out = []
+    for name in records.columns:
+        column = F.col(name)
+        if name in types:
+            try:
+                cast = column.try_cast(types[name]).alias(name)
+                records.select(cast)
+            except AnalysisException:
+                # No value of the one type is one of the other.
+                cast = F.lit(None).cast(types[name]).alias(name)
+            column = cast
+        out.append(column)
+    return records.select(*out)
 
 
 def upserted(current: DataFrame, changes: DataFrame, key: str) -> DataFrame:
@@ -37,44 +69,95 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def read_log(spark: SparkSession, path: str) -> DataFrame | None:
+    """One row per commit, None before the first."""
+    try:
+        return spark.read.schema(LOG).json(f"{path}/log")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def read_state(spark: SparkSession, path: str) -> State:
+    log = read_log(spark, path)
+    row = log.orderBy(F.desc("version")).limit(1).first() if log is not None else None
+    if row is None:
+        return State()
+    buckets = {int(b): parts for b, parts in json.loads(row["buckets"]).items()}
+    return State(row["version"], T.StructType.fromJson(json.loads(row["schema"])), buckets)
+
+
+def committed(spark: SparkSession, path: str, batch: str) -> bool:
+    log = read_log(spark, path)
+    return log is not None and not log.where(F.col("batch") == batch).isEmpty()
+
+
+def read_buckets(spark: SparkSession, path: str, state: State, wanted=None) -> DataFrame:
+    """The documents of some buckets, or of all; columns that older parts lack are NULL."""
+    parts = [f"{path}/data/{p}/{BUCKET}={b}" for b, folders in state.buckets.items() if wanted is None or b in wanted for p in folders]
+    if not parts:
+        return spark.createDataFrame([], state.schema)
+    return spark.read.schema(state.schema).parquet(*parts)
+
+
 def read_index(spark: SparkSession, path: str) -> DataFrame | None:
     """The indexed documents, None if there are none yet."""
-    documents = read_table(spark, f"{path}/documents")
-    return None if documents is None else documents.drop(BUCKET)
+    state = read_state(spark, path)
+    return None if state.schema is None else read_buckets(spark, path, state)
+
+
+def log_row(version: int, batch: str | None, schema: T.StructType, buckets: dict[int, list[str]]) -> tuple:
+    return version, batch, schema.json(), json.dumps(buckets)
+
+
+def bucket_of(key: str, buckets: int):
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+
+
+def fitted(records: DataFrame, schema: T.StructType | None) -> tuple[DataFrame, T.StructType]:
+    """Records in the types the index has, and its schema with the columns that are new."""
+    known = {f.name: f.dataType for f in schema or ()}
+    changed = {f.name: known[f.name].simpleString() for f in records.schema if f.name in known and f.dataType != known[f.name]}
+    added = [T.StructField(f.name, f.dataType) for f in records.schema if f.name not in known]
+    return (tolerant(records, changed) if changed else records), T.StructType([*(schema or ()), *added])
 
 
 def upsert(
-    path: str, records: DataFrame, key: str, arrival: Sequence[str] = (), buckets: int = 64, batch: str | None = None
+    path: str,
+    records: DataFrame,
+    key: str,
+    arrival: Sequence[str] = (),
+    buckets: int = 64,
+    batch: str | None = None,
+    only_new: bool = False,
 ) -> None:
     """Put records into the index by id, the last of several with one id winning.
 
-    Only the buckets the records fall into are rewritten. Their new content is first written whole
-    to a staging table and then moved in by an overwrite of just those buckets; both steps can be
-    repeated, so a failure in between is mended by running the same ``batch`` again. ``buckets``
-    must stay the same for the life of an index.
+    Only the buckets the records fall into are written anew. With ``only_new`` no record's id is in the index yet; then
+    the records are added as further parts of their buckets and nothing is rewritten. A ``batch``
+    that is committed already is left alone, so a job may run it again. New columns are added to the index; a value that does not
+    fit its column's type becomes NULL. ``buckets`` must stay the same for the life of an index.
     """
     spark = records.sparkSession
-    staging = f"{path}/staging/{batch}" if batch else work_path(spark, "staging")
-    if not batch or read_table(spark, f"{staging}/done") is None:
-        latest = last_of_each(records, key, arrival) if arrival else records
-        bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
-        latest.withColumn(BUCKET, bucket).write.mode("overwrite").parquet(f"{staging}/incoming")
-        changes = spark.read.parquet(f"{staging}/incoming")
-        # At most one small integer per bucket.
-        touched = [r[0] for r in changes.select(BUCKET).distinct().collect()]
-        documents = read_table(spark, f"{path}/documents")
-        merged = changes
-        if documents is not None:
-            merged = upserted(documents.where(F.col(BUCKET).isin(touched)), changes, key)
-        # Rows of a bucket come together, but a large bucket is split over several tasks and files.
-        merged.hint("rebalance", BUCKET).write.mode("overwrite").parquet(f"{staging}/merged")
-        if batch:
-            spark.range(1).write.mode("overwrite").parquet(f"{staging}/done")
-    merged = spark.read.parquet(f"{staging}/merged")
-    (
-        merged.select(*[c for c in merged.columns if c != BUCKET], BUCKET)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .parquet(f"{path}/documents")
-    )
+    if batch and committed(spark, path, batch):
+        return
+    state = read_state(spark, path)
+    latest = last_of_each(records, key, arrival) if arrival else records
+    latest, schema = fitted(latest, state.schema)
+    incoming = stored(latest.withColumn(BUCKET, bucket_of(key, buckets)), work_path(spark, "incoming"))
+    # At most one small integer per bucket.
+    touched = {r[0] for r in incoming.select(BUCKET).distinct().collect()}
+    if not touched and state.schema == schema:
+        return
+    rewritten = {b for b in touched if not only_new or len(state.buckets.get(b, ())) >= MOST_PARTS}
+    merged = incoming
+    if held := rewritten & state.buckets.keys():
+        current = read_buckets(spark, path, State(state.version, schema, state.buckets), held)
+        merged = upserted(current.withColumn(BUCKET, bucket_of(key, buckets)), incoming, key)
+    folder = uuid.uuid4().hex
+    # Rows of a bucket come together, but a large bucket is split over several tasks and files.
+    merged.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/data/{folder}")
+    after = {b: [folder] if b in rewritten else [*state.buckets.get(b, []), folder] for b in touched}
+    commit = log_row(state.version + 1, batch, schema, {**state.buckets, **after})
+    spark.createDataFrame([commit], LOG).coalesce(1).write.mode("append").json(f"{path}/log")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weblode.config import MISSING, DecisionModel, ModelFeature
+from weblode.functions.core import first_of
 from weblode.functions.text import digits_only
 from weblode.operators.records import scalar
 
@@ -38,18 +39,13 @@ def or_default(value: Column, default: str | None) -> Column:
 
 def canonical_key(value: Column, lookup: Mapping[str, object]) -> Column:
     """First lookup key contained in the value, NULL if there is none."""
-    out = F.lit(None).cast("string")
-    for key in reversed(list(lookup)):
-        out = F.when(F.contains(value, F.lit(key)), F.lit(key)).otherwise(out)
-    return out
+    return first_of((value.contains(key), key) for key in lookup)
 
 
 def enumeration(value: Column, lookup: Mapping[str, object], default: str | None) -> Column:
     """What the first contained key stands for, else the default."""
-    out = F.lit(default).cast("string")
-    for key, target in reversed(list(lookup.items())):
-        out = F.when(F.contains(value, F.lit(key)), F.lit(target).cast("string")).otherwise(out)
-    return out
+    texts = {k: t if t is None or isinstance(t, str) else F.lit(t).cast("string") for k, t in lookup.items()}
+    return first_of(((value.contains(key), target) for key, target in texts.items()), default)
 
 
 def whole_number(value: Column) -> Column:

@@ -28,6 +28,12 @@ def complete(records: DataFrame, identity: Sequence[str]) -> DataFrame:
     return out
 
 
+def arrival_order(records: DataFrame, arrival: Sequence[str]) -> Column:
+    """Order of arrival; of rows that arrive together, a hash of the whole row decides."""
+    whole = [F.to_json(f.name) if isinstance(f.dataType, T.MapType) else F.col(f.name) for f in records.schema]
+    return F.struct(*arrival, F.xxhash64(*whole).alias("_row"))
+
+
 def first_of_each(records: DataFrame, identity: Sequence[str], arrival: Sequence[str]) -> DataFrame:
     """One record per identity: the first to arrive.
 
@@ -37,8 +43,7 @@ def first_of_each(records: DataFrame, identity: Sequence[str], arrival: Sequence
     rest = [c for c in records.columns if c not in identity]
     if not rest:
         return records.distinct()
-    order = F.struct(*arrival)
-    kept = records.groupBy(*identity).agg(F.min_by(F.struct(*rest), order).alias("kept"))
+    kept = records.groupBy(*identity).agg(F.min_by(F.struct(*rest), arrival_order(records, arrival)).alias("kept"))
     return kept.select(*[F.col(f"kept.{c}").alias(c) if c in rest else F.col(c) for c in records.columns])
 
 
@@ -47,26 +52,17 @@ def last_of_each(records: DataFrame, key: str, arrival: Sequence[str]) -> DataFr
     rest = [c for c in records.columns if c != key]
     if not rest:
         return records.distinct()
-    kept = records.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*arrival)).alias("kept"))
+    kept = records.groupBy(key).agg(F.max_by(F.struct(*rest), arrival_order(records, arrival)).alias("kept"))
     return kept.select(*[F.col(f"kept.{c}").alias(c) if c != key else F.col(c) for c in records.columns])
 
 
-def not_indexed(
-    records: DataFrame, index: DataFrame, identity: Sequence[str], one_each: bool = False
-) -> DataFrame:
-    """Records that no indexed document equals on all identity features.
-
-    ``one_each`` says that no two records share an identity, as after ``first_of_each``; then a plain
-    anti-join does. Otherwise identities that many records share are looked up apart.
-    """
+def not_indexed(records: DataFrame, index: DataFrame, identity: Sequence[str]) -> DataFrame:
+    """Records that no indexed document equals on all identity features."""
     names = [f"known_{c}" for c in identity]
-    known = index.select(*[scalar(index, c).alias(n) for c, n in zip(identity, names)]).distinct()
-    if one_each:
-        same = [scalar(records, c) == F.col(n) for c, n in zip(identity, names)]
-        return records.join(known, same, "left_anti")
-    keyed = records.select("*", *[scalar(records, c).alias(n) for c, n in zip(identity, names)])
-    marked = looked_up(keyed, known.withColumn("is_known", F.lit(True)), names, "is_known")
-    return marked.where(F.col("is_known").isNull()).select(*records.columns)
+    known = index.select(*[scalar(index, c).alias(n) for c, n in zip(identity, names)])
+    # An anti-join needs no distinct right side, and adaptive execution splits a left side with a hot identity.
+    same = [scalar(records, c) == F.col(n) for c, n in zip(identity, names)]
+    return records.join(known, same, "left_anti")
 
 
 def presence(records: DataFrame, index: DataFrame, on: Sequence[str], flag: str = "present") -> DataFrame:

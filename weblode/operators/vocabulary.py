@@ -24,6 +24,12 @@ def gazetteer_names(gazetteer: DataFrame, column: str) -> DataFrame:
     return gazetteer.select(F.col(column).alias("value")).distinct().orderBy("value")
 
 
+def names_of_kind(kind: str, cities: DataFrame, universities: DataFrame) -> DataFrame:
+    """Distinct names of a kind (country, city, geonameid, province, university) in order."""
+    gazetteer, column = KINDS[kind]
+    return gazetteer_names({"cities": cities, "universities": universities}[gazetteer], column)
+
+
 def phrases(value: Column, delimiters: Sequence[str]) -> Column:
     """Candidate phrases of one value: camel-case pieces, split by each delimiter, letters only, repaired."""
     pieces = F.flatten(F.transform(X.camel_pieces(value), lambda p: X.delimiter_pieces(p, delimiters)))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from weblode.config import Feature, Site
 from weblode.functions import dom, urls, values
+from weblode.functions.countries import iso_countries
 from weblode.operators.extract import feature_text, feature_value, has_body, needed_nodes
 from weblode.operators.links import link_hrefs
 from weblode.operators.places import locate
@@ -30,8 +31,10 @@ def read_features(
     """Per page: the kept columns, ``url``, whether it has a body, its links if asked for, every feature.
 
     Everything a page is parsed for comes from one parse, in one narrow stage. Location features
-    are still the text to be looked up.
+    are still the text to be looked up; country features use the ISO table if no other is given.
     """
+    if any(f.datatype == "country" and not f.static_value for f in site.features):
+        countries = countries or iso_countries(pages.sparkSession)
     tags, text_tags = needed_nodes(site.features)
     if with_links and tags is not None:
         tags = tags | {"a"}
@@ -54,11 +57,12 @@ def read_features(
 
 
 def to_records(read: DataFrame, site: Site, gazetteer: DataFrame | None = None) -> DataFrame:
-    """The pages with a body as records; location features are looked up if there is a gazetteer."""
+    """The pages with a body as records; location features need a gazetteer."""
     records = read.where(BODY).drop(BODY, HREFS)
     for f in place_features(site):
-        if gazetteer is not None:
-            records = locate(records, f.name, gazetteer)
+        if gazetteer is None:
+            raise ValueError(f"location feature {f.name} needs a gazetteer")
+        records = locate(records, f.name, gazetteer)
         found = values.finished(
             F.col(f.name), f.datatype, f.removal_patterns, f.extraction_patterns, site.all_array
         )

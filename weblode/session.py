@@ -2,24 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: list[str] = []
+_named_roots: list[str] = []
+
+
+def name_work_root(path: str) -> None:
+    """The folder to use where the session sets no ``spark.checkpoint.dir``; all executors must share it."""
+    _named_roots[:] = [path]
 
 
 def work_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; in a local session without one, a scratch folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    """The shared folder: what the cluster names, else what the caller named."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or next(iter(_named_roots), None)
+    if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if not _local_roots:
-        _local_roots.append(tempfile.mkdtemp(prefix="weblode-"))
-    return _local_roots[0]
+    return root.rstrip("/")
 
 
 def work_path(spark: SparkSession, purpose: str) -> str:

@@ -11,36 +11,21 @@ PAGE_ENCODING = "ISO-8859-1"
 CITIES = "country string, name string, subcountry string, geonameid bigint"
 UNIVERSITIES = "name string"
 
-# Size of a scan task's input.
-SPLIT_BYTES = 128 << 20
-
 
 def decoded(content: Column) -> Column:
     """Raw page bytes as text."""
     return F.decode(content, PAGE_ENCODING)
 
 
-def read_pages(spark: SparkSession, path: str, spread: bool = True) -> DataFrame:
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Stored pages with ``url`` and ``html``; binary content is decoded.
 
-    Parsing is the heaviest step, and a table of a few large row groups would give it to a few
-    tasks. With ``spread``, input too small to occupy all cores is redistributed first; larger
-    input is left where it is.
+    Parsing is the heaviest step: choose ``spark.sql.files.maxPartitionBytes`` for a task of a few minutes.
     """
     pages = spark.read.parquet(path)
     if isinstance(pages.schema["html"].dataType, T.BinaryType):
         pages = pages.withColumn("html", decoded(F.col("html")))
-    return spread_small(pages, path, "url") if spread else pages
-
-
-def spread_small(frame: DataFrame, path: str, key: str) -> DataFrame:
-    """Hash-partition by ``key`` if the files at ``path`` hold less than one scan split per core."""
-    spark = frame.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    # Only the listing is read, not the files.
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    size = files.agg(F.sum("length")).first()[0] or 0
-    return frame.repartition(2 * cores, key) if size < cores * SPLIT_BYTES else frame
+    return pages
 
 
 def valid_text(value: Column) -> Column:
@@ -50,21 +35,26 @@ def valid_text(value: Column) -> Column:
 
 
 def read_json_directory(
-    spark: SparkSession, root: str, schema: str | T.StructType, per_file: bool = True, mode: str = "FAILFAST"
+    spark: SparkSession, root: str, schema: str | T.StructType, per_file: bool = True, mode: str = "FAILFAST", with_place: bool = False
 ) -> DataFrame:
-    """Every JSON object under a folder at any depth, with the ``file_path`` it came from.
+    """Every JSON object under a folder at any depth, whatever its file is called, with the ``file_path`` it came from.
 
-    One object per file by default; one per line for what ``write_json`` saved. Undecodable bytes are
-    ignored; a file that is not JSON fails the job unless ``mode`` is PERMISSIVE.
+    One object per file by default; one per line for what ``write_json`` saved. Compressed files are read by their ending. Undecodable bytes are
+    ignored; a file that is not JSON fails the job unless ``mode`` is PERMISSIVE. ``with_place`` adds ``file_place``,
+    which orders the records of one file.
     """
     lines = (
         spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
         .text(root, wholetext=per_file)
-        .select("value", F.col("_metadata.file_path").alias("file_path"))
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("file_path"),
+            # Rows of a split come in order, and splits of a file by where they start.
+            F.struct(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row")).alias("file_place"),
+        )
     )
     parsed = F.from_json(valid_text(F.col("value")), schema, {"mode": mode})
-    return lines.select(parsed.alias("record"), "file_path").select("record.*", "file_path")
+    return lines.select(parsed.alias("record"), "file_path", "file_place").select("record.*", "file_path", *(["file_place"] if with_place else []))
 
 
 def read_gazetteer(

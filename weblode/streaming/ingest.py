@@ -31,13 +31,17 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Index every page that arrives and append its record to the files; stops when all is read.
 
-    A batch's new records are stored under its number before they are used, so a batch that is
-    replayed writes the same files and the same index rows again.
+    A batch's new records are stored under the stream's id and its number before they are used, so a batch that is
+    replayed writes the same files, and no other stream's. A commit of the index bears the same name and is made
+    once. A stream that starts anew has a new id; what it reads again is in the index already.
     """
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        kept = f"{index_path}/batches/{batch_id}"
+        # The checkpoint holds the id that the stream keeps over restarts.
+        stream_id = spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+        name = f"{stream_id}-{batch_id}"
+        kept = f"{index_path}/batches/{name}"
         extra = [c for c in arrival if c != "url"]
         if read_table(spark, f"{kept}/done") is None:
             extracted = page_records(batch, site, countries, gazetteer, keep=extra)
@@ -45,8 +49,8 @@ def ingest_stream(
             spark.range(1).write.mode("overwrite").parquet(f"{kept}/done")
         fresh = spark.read.parquet(f"{kept}/records")
         if files_path:
-            save_files(fresh.drop(*extra), site, f"{files_path}/batch-{batch_id}", mode="overwrite")
-        upsert_records(fresh, site, index_path, extra, buckets, batch=str(batch_id))
+            save_files(fresh.drop(*extra), site, files_path, f"batch-{name}")
+        upsert_records(fresh, site, index_path, extra, buckets, batch=name)
 
     return (
         pages.writeStream.foreachBatch(ingest)
