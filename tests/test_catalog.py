@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from weblode.catalog import load
 
 BASE = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(BASE), reason="supplied tables are not here")
@@ -24,7 +25,7 @@ def rows_of(names, rows):
     return sorted(tuple(f"{r[i]:.9g}" if isinstance(r[i], float) else str(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(load()[0]))
 def test_query_equals_sql(spark, db, name):
     frame = entry.queries()[name](spark, BASE)
     got = rows_of(frame.columns, frame.collect())
@@ -50,7 +51,7 @@ import importlib.util
 spec = importlib.util.spec_from_file_location("contract", {os.path.abspath(entry.__file__)!r})
 contract = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(contract)
-assert set(contract.queries()) == set(contract.oracle_sql())
+assert set(contract.queries()) >= set(contract.oracle_sql())
 from pyspark.sql import SparkSession
 spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
 print("rows", contract.entry(spark).count())

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("url_queries", "page_queries", "value_queries", "index_queries", "file_queries")
+MODULES = ("url_queries", "page_queries", "value_queries", "index_queries", "file_queries", "job_queries")
 
 
 def load():

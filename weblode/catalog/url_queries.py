@@ -371,4 +371,4 @@ def crawl_summary(spark, sf_dir):
         links.same_site(url, F.col("src_url")).alias("internal"),
         links.permitted(url, PERMITTED).alias("permitted"),
     )
-    return frontier.crawl_summary(found)
+    return frontier.crawl_summary(found, frontier.MAX_VISITS)

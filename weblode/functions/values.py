@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from weblode.functions.core import blank_to_null, first_of, java_pattern, let
+from weblode.functions.core import MOST_BRANCHES, blank_to_null, first_in_table, first_of, java_pattern, let
 
 # The text given to a value that fits no category.
 OTHER_CATEGORY = "Other Category"
@@ -73,6 +74,17 @@ def category(text: Column, expected: Mapping[str, str]) -> Column:
     """Value of the first key found as a whole word, ignoring case; keys are regular expressions."""
     if not expected:
         return F.when(text.isNotNull(), F.lit(OTHER_CATEGORY))
+    if len(expected) > MOST_BRANCHES:
+        # A key that is a plain word is looked for as text first: its pattern is only tried where it occurs.
+        entries = [
+            {"pattern": java_pattern(rf"\b{k.lower()}\b"), "plain": k.lower() if re.fullmatch(r"[\w -]+", k) else None, "value": v} for k, v in expected.items()
+        ]
+
+        def chosen(lowered):
+            plain = lambda e: e["plain"].isNull() | F.contains(lowered, e["plain"])
+            return first_in_table(entries, lambda e: plain(e) & F.regexp_like(lowered, e["pattern"]), OTHER_CATEGORY)
+
+        return F.when(text.isNotNull(), let(F.lower(text), chosen))
     lowered = F.lower(text)
     found = ((lowered.rlike(java_pattern(rf"\b{key.lower()}\b")), value) for key, value in expected.items())
     return F.when(text.isNotNull(), first_of(found, OTHER_CATEGORY))
