@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -164,3 +166,21 @@ def test_configuration_errors():
         Site.parse("s", {**SITE, "csv_fields": ["nothing"]})
     with pytest.raises(ConfigError):
         Site.parse("s", {k: v for k, v in SITE.items() if k != "seed"})
+
+
+def test_many_elements_find_their_anchors_in_line_with_their_number(spark):
+    """Each value follows its label; only the last label holds what is looked for."""
+    raw = {
+        "tag": "dd", "cssClass": "", "datatype": "string", "propertyValue": "", "htmlAllowed": False,
+        "searchKeywords": {"prefix": {"index": 0, "tag": "dt", "cssClass": "", "propertyValue": "", "content": ["wanted"]}},
+    }
+
+    def seconds(n):
+        items = "".join(f"<dt>{'wanted' if i == n - 1 else 'no'}</dt><dd>v{i}</dd>" for i in range(n))
+        started = time.time()
+        assert value(spark, raw, page=f"<html><body>{items}</body></html>") == f"v{n - 1}"
+        return time.time() - started
+
+    seconds(10)
+    # Four times as many: quadratic work would take sixteen times as long.
+    assert seconds(8000) < 9 * max(seconds(2000), 1)

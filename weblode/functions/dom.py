@@ -103,21 +103,37 @@ def markup_of(html: Column, node: Column) -> Column:
     return F.substring(html, node["start"] + 1, node["stop"] - node["start"])
 
 
+def count_before(candidates: Column, ix: Column) -> Column:
+    """How many candidates stand before a place; they are in document order, so halving finds it."""
+
+    def halve(range_, _):
+        low, high = range_["low"], range_["high"]
+        middle = F.shiftright(low + high, 1)
+        earlier = F.get(candidates, middle)["ix"] < ix
+        return F.struct(
+            F.when((low < high) & earlier, middle + 1).otherwise(low).alias("low"),
+            F.when((low < high) & ~earlier, middle).otherwise(high).alias("high"),
+        )
+
+    size = F.size(candidates)
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(size + 1)).cast("int"))
+    start = F.struct(F.lit(0).alias("low"), size.alias("high"))
+    return F.when(size > 0, F.aggregate(steps, start, halve, lambda range_: range_["low"])).otherwise(F.lit(0))
+
+
 def before(candidates: Column, node: Column) -> Column:
     """Nearest earlier candidate; an enclosing element counts as earlier."""
-    return F.try_element_at(F.filter(candidates, lambda c: c["ix"] < node["ix"]), F.lit(-1))
+    return F.get(candidates, count_before(candidates, node["ix"]) - 1)
 
 
 def after(candidates: Column, node: Column) -> Column:
     """Nearest later candidate; an enclosed element counts as later."""
-    return F.get(F.filter(candidates, lambda c: c["ix"] > node["ix"]), F.lit(0))
+    return F.get(candidates, count_before(candidates, node["ix"] + 1))
 
 
 def inside(candidates: Column, node: Column) -> Column:
     """First candidate within the node."""
-    return F.get(
-        F.filter(candidates, lambda c: (c["ix"] > node["ix"]) & (c["ix"] <= node["last"])), F.lit(0)
-    )
+    return let(after(candidates, node), lambda c: F.when(c["ix"] <= node["last"], c))
 
 
 def moved(nodes: Column, node: Column, steps: int) -> Column:

@@ -118,7 +118,8 @@ def feature_text(
                 )
             return F.coalesce(*[blank_to_null(o) for o in options])
 
-        return F.get(F.filter(F.transform(found, tries), lambda v: v.isNotNull()), F.lit(0))
+        # Once there is a value, no further element is tried.
+        return F.aggregate(found, F.lit(None).cast("string"), lambda value, element: F.coalesce(value, tries(element)))
 
     def with_candidates(found, pending, bound):
         if not pending:
