@@ -9,6 +9,7 @@ from weblode.llm.common import SPACES, number_of, numbered, text_of, without
 
 # A text with more than one in this many rows is spread over several tasks; there are always fewer such texts.
 HOT_SHARE = 10_000
+HEAD = 32  # letters of a text that a splitter holds
 ADDED = ("keep_id", "group_size", "kept", "text_sha256")
 
 
@@ -20,8 +21,8 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
     smallest id (null ids last); of rows that tie in both, exactly one is ``kept``. Input columns that
     bear the name of an added one are replaced. An empty table gives an empty result.
 
-    Sampled splitters deal the normalised texts into ranges, each range is sorted externally, and
-    neighbours are compared in full. A text of more than ``1/HOT_SHARE`` of the rows is sorted in as many
+    Sampled splitters deal the normalised texts into ranges by their beginning and hash, each range is sorted
+    externally, and neighbours are compared in full. A text of more than ``1/HOT_SHARE`` of the rows is sorted in as many
     parts as its share asks for, cut by a hash of the id, so that a group of copies never meets in one task; what the
     parts have in common is counted beforehand with map-side combination, and has under ``HOT_SHARE`` rows.
     """
@@ -31,8 +32,10 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
     hot = hot_texts(rows, key)
     marked = rows.join(F.broadcast(hot), "text_sha256", "left")
     marked = marked.withColumn("_part", F.coalesce(F.pmod(F.xxhash64(key), F.col("_parts")), F.lit(0)))
-    ranged = marked.repartitionByRange("_norm", "_part")
-    equals = Window.partitionBy("_norm", "_part")
+    # Splitters are sampled on the driver, so they are short: the text's beginning, then its hash. Equal texts share both.
+    short = marked.withColumns({"_head": F.substring("_norm", 1, HEAD), "_hash": F.xxhash64("_norm")})
+    ranged = short.repartitionByRange("_head", "_hash", "_part")
+    equals = Window.partitionBy("_head", "_hash", "_part", "_norm")
     best_first = equals.orderBy(F.desc("_points"), key.asc_nulls_last())
     placed = ranged.select(
         "*",
