@@ -183,9 +183,11 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("low").alias("high"), F.col("high").alias("low")))
         least = both.groupBy("high").agg(F.min("low").alias("least")).select(F.col("high").alias("node"), F.least("least", "high").alias("least"))
+        # Minima are written before they are joined: rows of a hub are then split by adaptive execution.
+        least = stored(least, work_path(spark, name))
         large = both.join(least, both.high == least.node).where("low > high").select(F.col("low").alias("high"), F.col("least").alias("low"))
         large = stored(large.where("high <> low").distinct(), work_path(spark, name))
-        down = large.groupBy("high").agg(F.min("low").alias("least"))
+        down = stored(large.groupBy("high").agg(F.min("low").alias("least")), work_path(spark, name))
         joined = large.join(down, "high")
         small = joined.select(F.col("low").alias("high"), F.col("least").alias("low")).where("high <> low").unionByName(down.select("high", F.col("least").alias("low"))).distinct()
         small = stored(small, work_path(spark, name))
