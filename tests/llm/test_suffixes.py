@@ -78,3 +78,26 @@ def test_removed_bytes_equal_brute_force(spark, documents, monkeypatch, hot, len
 
 def test_empty_table(spark, documents):
     assert suffixes.without_repeats(documents([])).count() == 0
+
+
+@pytest.mark.parametrize("stable", [False, True])
+def test_row_numbers_do_not_follow_the_splits_of_a_scan(spark, documents, tmp_path, stable):
+    rng = random.Random(9)
+    texts = corpus(rng, 60, 40)
+    path = str(tmp_path / "docs")
+    documents(list(enumerate(texts))).repartition(6).write.parquet(path)
+    keys = {"spark.sql.files.maxPartitionBytes": "1m", "spark.sql.files.openCostInBytes": "1m", "spark.sql.files.minPartitionNum": "1"}
+    try:
+        for key, value in keys.items():
+            spark.conf.set(key, value)
+        cut = suffixes.without_repeats(spark.read.parquet(path), length=40, stable=stable)
+        # The last job of the operator runs with other splits than those before it.
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1g")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        got = {r.doc_id: bytes(r.kept) for r in cut.collect()}
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
+    data = [t.encode() for t in texts]
+    assert got == {i: np.frombuffer(t, np.uint8)[~gone].tobytes() for i, (t, gone) in enumerate(zip(data, plain(data, 40), strict=True))}

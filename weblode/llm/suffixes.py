@@ -286,14 +286,12 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     valid UTF-8. Repeated rows are each other's copies, so their long texts go; an empty table gives an empty result; further columns
     do not matter.
 
-    Rows are known by their place in the input. Pass ``stable=True`` for a frame read from a table without a
-    shuffle; other frames are written to the shared folder first.
+    Rows are known by a number that is written to the shared folder with their text, once, and read from there by every
+    later job. ``stable`` changes nothing; it is kept for callers that pass it.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(quoted(id_column)).alias("id"), F.coalesce(F.col(quoted(text_column)).cast("string"), F.lit("")).cast("binary").alias("data"))
-    if not stable:
-        texts = stored(texts, work_path(spark, "texts"))
-    numbered = texts.withColumn("row", F.monotonically_increasing_id())
+    numbered = stored(texts.withColumn("row", F.monotonically_increasing_id()), work_path(spark, "texts"))
     spans = repeated_spans(numbered, length)
     per_row = spans.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("marks"))
 
