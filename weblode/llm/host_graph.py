@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,9 +14,12 @@ from weblode.session import stored, work_path
 ADDED = ("host", "path", "rule", "verdict")
 # Scores are whole numbers, so they do not depend on the order in which shares are added.
 MASS = 10**15
-ROUNDS = 10
+ROUNDS = 10  # of the SQL; the operator goes on until its scores have settled
 DAMPING = 85  # hundredths of a score that are passed on
 THRESHOLD = 25  # hundredths of the mean mass of a host by which distrust must exceed trust
+# Scores have settled when all that may still move, over all hosts, cannot change a verdict or is this share of its margin.
+SETTLED = 1000
+STEP = 5
 HREF = r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)"""
 
 # (verdict, host, path)
@@ -72,23 +76,50 @@ def host_edges(pages: DataFrame, url: Column, html: Column) -> DataFrame:
     return both.where("src <> '' and dst <> '' and src <> dst").distinct()
 
 
-def propagated(edges: DataFrame, seeds: DataFrame, rounds: int, damping: int) -> DataFrame:
-    """(host, score): personalised PageRank over (src, dst) from the hosts of ``seeds``.
+def rounds_for(left: int, damping: int) -> int:
+    """Rounds after which no more than ``left`` can still move: each round leaves ``damping`` hundredths of twice ``MASS`` in two scores."""
+    return max(1, math.ceil(math.log(4 * MASS / max(left, 1)) / -math.log(damping / 100)))
 
-    ``MASS`` is dealt evenly to the seeds; each round passes ``damping`` hundredths of a score evenly along
-    the edges and adds the rest of the seed's own. Every round's scores are written to the shared folder.
+
+def propagated(edges: DataFrame, hosts: DataFrame, rounds: int | None, damping: int, margin: int) -> DataFrame:
+    """(host, trust, distrust): personalised PageRank over (src, dst) from trusted hosts, and against the links from blocked ones.
+
+    ``MASS`` is dealt evenly to the seeds of a score; each round passes ``damping`` hundredths of it evenly along
+    the edges and adds the rest of the seed's own. The scores of every ``STEP`` rounds are written to the shared folder.
+    Rounds go on until all that later ones can move is less than what would change a verdict, or less than a
+    ``SETTLED``-th of the ``margin``; shares are rounded down, so after ``rounds_for`` rounds nothing but rounding is
+    left. ``rounds`` fixes their number instead.
     """
     spark = edges.sparkSession
-    degree = edges.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
-    paths = stored(edges.join(degree, "src"), work_path(spark, "paths"))
-    n = seeds.count()
-    start = seeds.select("host", F.lit(MASS // max(n, 1)).cast("long").alias("start"))
-    rest = start.select("host", F.expr(f"start * {100 - damping} div 100").alias("part"))
-    scores = stored(start.withColumnRenamed("start", "score"), work_path(spark, "scores"))
-    for _ in range(rounds):
-        sent = paths.join(scores.withColumnRenamed("host", "src"), "src").select(F.col("dst").alias("host"), F.expr(f"score * {damping} div (100 * degree)").alias("part"))
-        scores = stored(sent.unionByName(rest).groupBy("host").agg(F.sum("part").alias("score")), work_path(spark, "scores"))
-    return scores
+    ways = edges.select(F.lit(0).alias("kind"), "src", "dst").unionByName(edges.select(F.lit(1).alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst")))
+    degree = ways.groupBy("kind", "src").agg(F.count(F.lit(1)).alias("degree"))
+    paths = stored(ways.join(degree, ["kind", "src"]), work_path(spark, "paths"))
+    n = hosts.agg(F.count_if("trusted"), F.count_if("blocked")).first()
+    seeds = [hosts.where(name).select(F.lit(kind).alias("kind"), "host", F.lit(MASS // max(n[kind], 1)).cast("long").alias("score")) for kind, name in enumerate(("trusted", "blocked"))]
+    scores = stored(seeds[0].unionByName(seeds[1]), work_path(spark, "scores"))
+    rest = scores.select("kind", "host", F.expr(f"score * {100 - damping} div 100").alias("part"))
+    left = max(1, margin // SETTLED)
+    most = rounds if rounds is not None else rounds_for(left, damping)
+    done = 0
+    while done < most:
+        step = min(STEP, most - done)
+        new = scores
+        for _ in range(step):
+            sent = paths.join(new.select("kind", F.col("host").alias("src"), "score"), ["kind", "src"])
+            sent = sent.select("kind", F.col("dst").alias("host"), F.expr(f"score * {damping} div (100 * degree)").alias("part"))
+            new = sent.unionByName(rest).groupBy("kind", "host").agg(F.sum("part").alias("score"))
+        before, scores = scores, stored(new, work_path(spark, "scores"))
+        done += step
+        if rounds is not None:
+            continue
+        sign = F.when(F.col("kind") == 1, 1).otherwise(-1)
+        changes = scores.unionByName(before.select("kind", "host", (-F.col("score")).alias("score")))
+        moved = changes.groupBy("kind", "host").agg(F.sum("score").alias("x")).agg(F.sum(F.abs("x"))).first()[0] or 0
+        nearest = scores.groupBy("host").agg(F.sum(sign * F.col("score")).alias("x")).agg(F.min(F.abs(F.col("x") - margin))).first()[0]
+        kept = (damping / 100) ** step
+        if moved * kept / (1 - kept) < max(left, margin if nearest is None else min(nearest, margin)):
+            break
+    return scores.groupBy("host").agg(*[F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0)).alias(name) for kind, name in enumerate(("trust", "distrust"))])
 
 
 def judged_pages(
@@ -96,7 +127,7 @@ def judged_pages(
     rules: Sequence[tuple[str, str, str]] = RULES,
     url_column: str = "url",
     html_column: str = "html",
-    rounds: int = ROUNDS,
+    rounds: int | None = None,
     damping: int = DAMPING,
     threshold: int = THRESHOLD,
 ) -> DataFrame:
@@ -105,7 +136,8 @@ def judged_pages(
     Hosts with a page that an allow rule fits are trusted seeds, hosts with a blocked page blocked ones. Trust
     runs along the links from trusted seeds, distrust against them from blocked seeds. A page without a rule is
     blocked if its host has more distrust than trust by ``threshold`` hundredths of the mean over all
-    hosts, and allowed otherwise. Null addresses and those without ``://`` have no host and are
+    hosts, and allowed otherwise. Scores are passed on until what may still move, over all hosts, changes no verdict or is under a
+    thousandth of that margin; ``rounds`` fixes the number of rounds instead. Null addresses and those without ``://`` have no host and are
     allowed. Null markup has no links. Repeated rows are judged alike; input columns that bear the name of an added one are
     replaced; an empty table gives an empty result.
     """
@@ -123,11 +155,8 @@ def judged_pages(
         work_path(spark, "hosts"),
     )
     edges = stored(host_edges(numbered(pages), url, html), work_path(spark, "edges"))
-    trust = propagated(edges, hosts.where("trusted").select("host"), rounds, damping)
-    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    distrust = propagated(back, hosts.where("blocked").select("host"), rounds, damping)
     margin = MASS * threshold // (100 * max(hosts.count(), 1))
-    scored = hosts.select("host").join(trust.withColumnRenamed("score", "trust"), "host", "left").join(distrust.withColumnRenamed("score", "distrust"), "host", "left")
+    scored = hosts.select("host").join(propagated(edges, hosts, rounds, damping, margin), "host", "left")
     bad = scored.where(F.coalesce("distrust", F.lit(0)) - F.coalesce("trust", F.lit(0)) > margin).select(F.col("host").alias("_host"), F.lit(True).alias("_bad"))
     # One row per host on the right; pages of a large host are split by adaptive execution.
     named = page.join(bad, "_host", "left")
