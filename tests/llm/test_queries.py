@@ -12,7 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
-from tests.llm import test_lm, test_simhash, test_suffixes
+from tests.llm import test_alignment, test_lm, test_simhash, test_suffixes, test_token_counts
 from tests.test_catalog import rows_of
 from weblode.llm import queries
 
@@ -50,7 +50,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
@@ -71,6 +71,15 @@ def test_tokens(spark, docs):
     assert result(spark, "op5_speculative_bpe", ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]) == sorted(want)
 
 
+def test_token_counts(spark, docs):
+    assert result(spark, "op11_token_counts", ["doc_id", "n_bytes", "n_tokens", "over_limit"]) == sorted(test_token_counts.plain(docs))
+
+
+def test_alignment(spark, docs):
+    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    assert result(spark, "op12_alignment", names) == sorted(test_alignment.plain(docs))
+
+
 def test_scores(spark, docs):
     want = [(k, not keep, *rest) for k, keep, *rest in test_lm.plain([(k, t, crc(k) % 10 != 0) for k, t in docs])]
     got = result(spark, "op6_kneser_ney", ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weblode.llm import bpe, chat, content_sort, decontaminate, host_graph, lm, quality, shards, simhash, suffixes
+from weblode.llm import alignment, bpe, chat, content_sort, decontaminate, host_graph, lm, negatives, quality, shards, simhash, suffixes, token_counts
 from weblode.llm.common import text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,11 +108,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tokenizer_path() -> str:
-    """The public vocabulary; a parameter of the operator, named here for the query."""
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A public vocabulary; a parameter of the operators, named here for the queries."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @query("op5_speculative_bpe")
@@ -173,3 +173,39 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_simhash_pivots")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op11_token_counts")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query("op12_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignments(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query(
+    "op13_hard_negatives",
+    """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same, list_dot_product(a.e, r.e)::BIGINT AS score
+  FROM v a JOIN v r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id
+), p AS (
+  SELECT anchor_id, other_id, score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) AS place FROM s WHERE same
+), n AS (
+  SELECT p.anchor_id, p.other_id AS positive_id, s.other_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY s.score DESC, s.other_id)::INTEGER AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+  WHERE place <= 5
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+""",
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0, "vec_id", "label", "embedding")
