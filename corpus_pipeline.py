@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weblode.llm import bpe, content_sort, decontaminate, quality, shingles
+from weblode.llm import bpe, content_sort, decontaminate, quality, simhash
 from weblode.llm.queries import tokenizer_path
 from weblode.session import stored, work_path
 
@@ -21,8 +21,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of texts with a similarity of 0.8 or more in runs of five words stays."""
-    return shingles.one_of_each(docs, words=5, similarity=0.8)
+    """One document of each component of fingerprints at four or fewer differing bits, over runs of four words, stays."""
+    return simhash.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
