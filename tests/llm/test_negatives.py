@@ -69,7 +69,7 @@ def test_awkward_rows(spark):
 
 
 def test_large_components(spark):
-    rows = [(i, i % 2, [1e5 * ((i * 7) % 11 - 5) + 0.3, 2e5, 1.0 * i]) for i in range(40)]
+    rows = [(i, i % 2, [6e4 * ((i * 7) % 11 - 5) + 0.3, 2e5, 1.0 * i]) for i in range(40)]
     assert mined(spark, rows) == plain(rows)
     with pytest.raises(ValueError):
         mined(spark, [(0, 1, [1e30]), (1, 1, [1.0])])

@@ -75,7 +75,7 @@ def compared(piece: dict, same: bool, kind: int, most: int) -> Callable:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
                 row_ids, row_labels = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-                rows = part.column(2).flatten().to_numpy(zero_copy_only=False).reshape(len(row_ids), -1).astype(vectors.dtype)
+                rows = part.column(2).flatten().to_numpy(zero_copy_only=False).reshape(len(row_ids), vectors.shape[1]).astype(vectors.dtype)
                 for label in np.unique(labels).tolist():
                     own_rows = np.flatnonzero((row_labels == label) == same)
                     own_anchors = np.flatnonzero(labels == label)
@@ -197,16 +197,18 @@ def hard_negatives(rows: DataFrame, anchor: Column, id_column: str, label_column
     def scores(of: DataFrame, same: bool, most: int, purpose: str) -> DataFrame:
         """What each piece's anchors find among all rows; a few pieces at a time are sent to the tasks."""
         path, schema = work_path(spark, purpose), "anchor_id long, score long, kind int, id long"
+        spark.createDataFrame([], schema).write.parquet(f"{path}/none")
         for start in range(0, pieces, PIECES):
-            frame = None
+            frame = spark.createDataFrame([], schema)
             for p in range(start, min(start + PIECES, pieces)):
                 found = of.where(F.col("piece") == p).toArrow()
+                if not found.num_rows:
+                    continue
                 low = np.array(found.column("low").to_pylist(), np.int64).reshape(found.num_rows, -1)
                 high = np.array(found.column("high").to_pylist(), np.int64).reshape(found.num_rows, -1)
                 flat = found.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-                piece = {"ids": found.column("id").to_numpy(), "labels": found.column("label").to_numpy(), "vectors": flat.reshape(found.num_rows, -1).astype(kind), "low": low, "high": high}
-                part = shared.mapInArrow(compared(piece if found.num_rows else piece | {"labels": np.zeros(0, np.int64)}, same, 0 if same else 1, most), schema)
-                frame = part if frame is None else frame.unionAll(part)
+                piece = {"ids": found.column("id").to_numpy(), "labels": found.column("label").to_numpy(), "vectors": flat.reshape(found.num_rows, sizes["width"]).astype(kind), "low": low, "high": high}
+                frame = frame.unionAll(shared.mapInArrow(compared(piece, same, 0 if same else 1, most), schema))
             frame.write.parquet(f"{path}/{start}")
         return spark.read.schema(schema).parquet(f"{path}/*")
 
