@@ -6,11 +6,15 @@ import json
 import re
 
 import regex
+import tiktoken
 from tokenizers import Tokenizer
 
 # Fixed value: how byte-level vocabularies of this kind cut a text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# Longer pre-tokens are merged by the tokenizers library, whose time grows less with their length.
+FAST_CHARS = 64
+
 
 def byte_letters() -> list[str]:
     """The printable letter by which byte-level vocabularies write each byte."""
@@ -39,6 +43,12 @@ class ByteLevel:
         letters = byte_letters()
         self.bytes_of = {c: b for b, c in enumerate(letters)}
         self.letters = dict(enumerate(letters))
+        self.bytes_by_id = {i: bytes([self.bytes_of[c] for c in t]) for t, i in model["vocab"].items() if t not in self.added}
+        # Where ids follow the order of merges, tiktoken's merging of one piece gives the same ids, sooner.
+        merged = (model["vocab"][a + b] for a, b in (m if isinstance(m, list) else m.split(" ") for m in model["merges"]))
+        ordered = all(i - rank == len(letters) for rank, i in enumerate(merged))
+        ranks = {b: i for i, b in self.bytes_by_id.items()}
+        self.fast = tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})._core_bpe if ordered else None
         self.find = regex.compile(PATTERN)
         self.same: set[str] = set()
         self.other: set[str] = set()
@@ -48,11 +58,10 @@ class ByteLevel:
 
     def pieces(self, word: str) -> list[int]:
         """The ids of one pre-token."""
+        if self.fast and len(word) <= FAST_CHARS:
+            return self.fast.encode_single_piece(word.encode())
         return [t.id for t in self.model.tokenize(self.spelled(word))]
 
-    def token_bytes(self, token: str) -> bytes:
-        return bytes([self.bytes_of[c] for c in token])
-
     def by_library(self, text: str) -> list[str]:
         return [text[a:b] for _, (a, b) in self.library.pre_tokenize_str(text)]
 
