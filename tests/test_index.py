@@ -74,6 +74,59 @@ def test_new_records_are_added_as_parts(spark, tmp_path, monkeypatch):
     assert len(index.read_state(spark, path).buckets[0]) == 2  # three parts were put together with the fourth
 
 
+def files_read(frame):
+    return len(frame.inputFiles())
+
+
+@pytest.mark.parametrize("identity", [["url"], ["url", "n"]])
+def test_a_batch_reads_the_buckets_it_touches(spark, tmp_path, identity):
+    path = str(tmp_path / "index")
+    index.upsert(path, docs(spark, [(f"u{i}", i) for i in range(400)]), "url", buckets=40, identity=identity)
+    state = index.read_state(spark, path)
+    assert files_read(index.read_buckets(spark, path, state)) >= 40
+    asked = docs(spark, [("u7", 7), ("u8", 80), ("new", 1)])
+    features = asked.select(*index.identity_of(asked, identity, state.schema))
+    known = index.known_identities(spark, path, state, features, "url")
+    assert 1 <= files_read(known.select("feature_0")) <= 4 + len(identity)
+    got = {r["url"] for r in index.not_in_index(path, asked, identity, "url").collect()}
+    assert got == ({"new"} if identity == ["url"] else {"u8", "new"})
+
+
+def test_identity_of_a_replaced_document_is_new_again(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(index, "MOST_PARTS", 2)
+    path = str(tmp_path / "index")
+    want = {}
+    rng = random.Random(2)
+    for _ in range(6):
+        batch = {f"u{rng.randrange(8)}": rng.randrange(3) for _ in range(4)}
+        index.upsert(path, docs(spark, list(batch.items())), "url", buckets=3, identity=["n", "url"])
+        want |= batch
+    asked = [(f"u{i}", n) for i in range(9) for n in range(3)]
+    got = {tuple(r) for r in index.not_in_index(path, docs(spark, asked), ["n", "url"], "url").collect()}
+    assert got == {a for a in asked if want.get(a[0]) != a[1]}
+    # Other features, and an index that was not told of them by every commit: the whole index is read.
+    assert {r["n"] for r in index.not_in_index(path, docs(spark, asked), ["n"], "url").collect()} == set(range(3)) - set(want.values())
+    index.upsert(path, docs(spark, [("late", 2)]), "url", buckets=3)
+    assert index.read_state(spark, path).identity == ()
+    assert index.not_in_index(path, docs(spark, [("late", 2), ("u", 0)]), ["n", "url"], "url").count() == 1
+
+
+def test_state_is_written_out_and_history_not_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(index, "MOST_COMMITS", 3)
+    path = str(tmp_path / "index")
+    for i in range(10):
+        index.upsert(path, docs(spark, [(f"u{i % 4}", i)]), "url", buckets=2, batch=f"s-{i}", identity=["url"])
+    state = index.read_state(spark, path)
+    assert (state.version, state.epoch, state.logged, state.batches, state.count) == (10, 3, 1, {"s": 9}, 2)
+    # What is read: one state and the commits since, not the log of earlier ones.
+    (tmp_path / "index" / "log" / "0").rename(tmp_path / "moved")
+    assert content(spark, path) == [("u0", 8), ("u1", 9), ("u2", 6), ("u3", 7)]
+    index.upsert(path, docs(spark, [("u0", 0)]), "url", batch="s-8")
+    # A state that was not written whole does not count.
+    (tmp_path / "index" / "state" / "4").mkdir()
+    assert index.read_state(spark, path).version == 10 and content(spark, path)[0] == ("u0", 8)
+
+
 def test_new_columns_and_types_that_do_not_fit(spark, tmp_path):
     path = str(tmp_path / "index")
     index.upsert(path, docs(spark, [("a", 1), ("b", 2)]), "url", buckets=2)

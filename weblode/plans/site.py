@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from weblode.config import MISSING, Site
 from weblode.functions import urls
 from weblode.operators import frontier, links, records
-from weblode.operators.index import read_index, read_state, upsert
+from weblode.operators.index import not_in_index, read_state, upsert
 from weblode.operators.joins import hot_keys, looked_up
 from weblode.plans.records import HREFS, read_features, to_records
 from weblode.session import stored, work_path
@@ -129,8 +129,22 @@ def new_records(extracted: DataFrame, site: Site, index_path: str, arrival: Sequ
     """Complete records, the first of each identity, that the index does not hold yet."""
     whole = records.complete(extracted, site.identity)
     first = records.first_of_each(whole, site.identity, arrival)
-    index = read_index(extracted.sparkSession, index_path)
-    return first if index is None else records.not_indexed(first, index, site.identity)
+    keyed = with_id(first, site)
+    return not_in_index(index_path, keyed, looked_up_by(site), document_key(site)).select(*first.columns)
+
+
+def document_key(site: Site) -> str:
+    return "id" if site.all_array else "url"
+
+
+def looked_up_by(site: Site) -> list[str]:
+    """The features by which a record is looked up in the index: the document's id where the URL alone identifies it."""
+    return [document_key(site)] if set(site.identity) == {"url"} else list(site.identity)
+
+
+def with_id(found: DataFrame, site: Site) -> DataFrame:
+    """Records whose features are arrays get the URL as their id."""
+    return found.withColumn("id", records.scalar(found, "url")) if site.all_array else found
 
 
 def save_files(fresh: DataFrame, site: Site, files_path: str | None, run: str) -> None:
@@ -153,10 +167,10 @@ def upsert_records(
 
     Records that differ in another identity feature may share a URL; the last to arrive is indexed.
     """
-    key = "id" if site.all_array else "url"
-    keyed = fresh.withColumn("id", records.scalar(fresh, "url")) if site.all_array else fresh
+    key = document_key(site)
+    keyed = with_id(fresh, site)
     if set(site.identity) != {"url"}:
         keyed = records.last_of_each(keyed, key, list(arrival) or [key])
     # What is new by its URL is added; by other features a record may be new whose URL is not.
     only_new = set(site.identity) == {"url"}
-    upsert(index_path, keyed.drop(*arrival), key, buckets=buckets, batch=batch, only_new=only_new)
+    upsert(index_path, keyed.drop(*arrival), key, buckets=buckets, batch=batch, only_new=only_new, identity=looked_up_by(site))
