@@ -25,13 +25,13 @@ def as_dict(frame):
     return {r["url"]: (r["depth"], r["visited"]) for r in frame.collect()}
 
 
-@pytest.mark.parametrize("budget", [None, 1, 7, 25, 1000])
-def test_walk_of_a_random_graph_with_cycles(spark, budget):
+@pytest.mark.parametrize(("budget", "buckets"), [(None, 1), (1, None), (7, None), (25, 5), (None, 5), (1000, None)])
+def test_walk_of_a_random_graph_with_cycles(spark, budget, buckets):
     rng = random.Random(3)
     edges = [(f"u{rng.randint(0, 60)}", f"u{rng.randint(0, 60)}") for _ in range(90)] + [("u1", f"x{i}") for i in range(40)]
     frame = spark.createDataFrame(edges, "src_url string, url string")
     seeds = spark.createDataFrame([("u1",), ("u2",), ("u1",)], "url string")
-    assert as_dict(frontier.crawl_order(frame, seeds, budget)) == walk(edges, ["u1", "u2"], budget)
+    assert as_dict(frontier.crawl_order(frame, seeds, budget, buckets)) == walk(edges, ["u1", "u2"], budget)
 
 
 def test_deep_walk_without_broadcast(spark, monkeypatch):
@@ -43,6 +43,32 @@ def test_deep_walk_without_broadcast(spark, monkeypatch):
     assert as_dict(frontier.crawl_order(frame, seeds, None)) == walk(edges, ["n0"])
 
 
+def test_a_level_reads_the_buckets_of_its_urls(spark, monkeypatch):
+    read, plain = [], frontier.read_buckets
+
+    def counted(session, tables, wanted=None):
+        frame = plain(session, tables, wanted)
+        if wanted is not None:
+            read.append(len(frame.inputFiles()))
+        return frame
+
+    monkeypatch.setattr(frontier, "read_buckets", counted)
+    edges = [(f"n{i}", f"n{i + 1}") for i in range(4)] + [(f"far{i}", f"off{i}") for i in range(300)]
+    frame = spark.createDataFrame(edges, "src_url string, url string")
+    seeds = spark.createDataFrame([("n0",)], "url string")
+    got = frontier.crawl_order(frame, seeds, buckets=50)
+    assert as_dict(got) == walk(edges, ["n0"])
+    # Edges of one URL lie in one of 50 buckets; of the levels before only buckets of what was found are read.
+    assert len(read) == 10 and max(read[::2]) == 1 and max(read[1::2]) <= 2
+
+
+def test_buckets_follow_the_bytes_of_the_edges(spark, monkeypatch):
+    monkeypatch.setattr(frontier, "BUCKET_BYTES", 20)
+    edges = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d" * 90), (None, "e")]
+    frame = spark.createDataFrame(edges, "src_url string, url string")
+    assert as_dict(frontier.crawl_order(frame, spark.createDataFrame([("a",)], "url string"))) == walk(edges, ["a"])
+
+
 def test_walk_without_seeds(spark):
     frame = spark.createDataFrame([("a", "b")], "src_url string, url string")
     assert frontier.crawl_order(frame, spark.createDataFrame([], "url string")).count() == 0

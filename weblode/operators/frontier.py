@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from weblode.functions import urls
 from weblode.session import stored, work_path
@@ -21,6 +23,47 @@ BROADCAST_BYTES = 16 << 20
 MERGE_LEVELS = 16
 WALK = "url string, depth int, visited boolean"
 
+# Edges and found URLs lie in hash buckets of their URL; a bucket holds about so many bytes of edges.
+BUCKET = "bucket"
+BUCKET_BYTES = 64 << 20
+MOST_BUCKETS = 4096
+
+
+@dataclass(frozen=True)
+class Bucketed:
+    """A table with one folder per bucket, and the buckets that hold anything; None where all rows are one bucket."""
+
+    path: str
+    schema: StructType
+    held: frozenset[int] | None
+
+    def parts(self, wanted: frozenset[int] | None = None) -> list[str]:
+        if self.held is None:
+            return [self.path]
+        return [f"{self.path}/{BUCKET}={b}" for b in sorted(self.held if wanted is None else self.held & wanted)]
+
+
+def bucket(url: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(url), F.lit(buckets)).cast("int")
+
+
+def put_in_buckets(frame: DataFrame, url: str, buckets: int, path: str) -> Bucketed:
+    """Write the frame by buckets of a URL column; rows of a bucket come together, a large one in several files."""
+    if buckets == 1:
+        frame.write.parquet(path)
+        return Bucketed(path, frame.schema, None)
+    placed = frame.withColumn(BUCKET, bucket(url, buckets))
+    placed.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
+    written = frame.sparkSession.read.schema(placed.schema).parquet(path)
+    # At most one small integer per bucket, from the names of the folders.
+    return Bucketed(path, frame.schema, frozenset(r[0] for r in written.select(BUCKET).distinct().collect()))
+
+
+def read_buckets(spark: SparkSession, tables: Sequence[Bucketed], wanted: frozenset[int] | None = None) -> DataFrame:
+    """The rows of some buckets, or of all, of tables of one schema."""
+    parts = [p for t in tables for p in t.parts(wanted)]
+    return spark.read.schema(tables[0].schema).parquet(*parts) if parts else spark.createDataFrame([], tables[0].schema)
+
 
 def first_rows(frame: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows in a total order, without bringing them together in one task.
@@ -47,24 +90,32 @@ def first_rows(frame: DataFrame, order: Sequence[str], n: int) -> DataFrame:
 
 
 def crawl_order(
-    edges: DataFrame, seeds: DataFrame, max_visits: int | None = None
+    edges: DataFrame, seeds: DataFrame, max_visits: int | None = None, buckets: int | None = None
 ) -> DataFrame:
-    """(url, depth) of every URL a breadth-first walk finds, each at its least depth.
+    """(url, depth, visited) of every URL a breadth-first walk finds, each at its least depth.
 
     ``edges`` is (src_url, url), ``seeds`` (url). At most ``max_visits`` URLs are expanded, in order
     of depth and then URL; those found but not expanded have ``visited`` false. Every level is written
     as a table, so the plan does not grow and a lost executor costs no more than the current level.
+
+    Edges are dealt once by the hash of their source, levels by the hash of their URL, to as many buckets as the edges' size
+    asks for unless ``buckets`` says it. A level reads edges only where its URLs lie, and earlier
+    levels only where what it found lies.
     """
     spark = edges.sparkSession
     root = work_path(spark, "walk")
+    if buckets is None:
+        size = edges.agg(F.coalesce(F.sum(F.octet_length("src_url") + F.octet_length("url")), F.lit(0))).first()[0]
+        buckets = min(MOST_BUCKETS, max(1, -(-size // BUCKET_BYTES)))
+    links = put_in_buckets(edges.select("src_url", "url"), "src_url", buckets, f"{root}/edges") if buckets > 1 else None
     budget = float("inf") if max_visits is None else max_visits
     fresh = seeds.select("url").distinct()
     depth, levels = 0, []
 
     def keep(found, name, visited):
         marked = found.select("url", F.lit(depth).alias("depth"), visited.alias("visited"))
-        levels.append(f"{root}/{name}")
-        return stored(marked, levels[-1])
+        levels.append(put_in_buckets(marked, "url", buckets, f"{root}/{name}"))
+        return read_buckets(spark, levels[-1:])
 
     while True:
         level = keep(fresh, f"level-{depth}", F.lit(budget > 0))
@@ -80,22 +131,26 @@ def crawl_order(
             budget = 0
         else:
             budget -= size["n"]
+        touched = levels[-1].held
         if len(levels) > MERGE_LEVELS:
-            merged = f"{root}/merged-{depth}"
-            stored(spark.read.schema(WALK).parquet(*levels), merged)
-            levels[:] = [merged]
-        fresh = _expand(edges, level, spark.read.schema(WALK).parquet(*levels), size["bytes"])
+            levels[:] = [put_in_buckets(read_buckets(spark, levels), "url", buckets, f"{root}/merged-{depth}")]
+        found = _targets(read_buckets(spark, [links], touched) if links else edges, level, size["bytes"] or 0)
+        hit = None
+        if buckets > 1:
+            # What was found is written first: its buckets are those in which it may have been found before.
+            table = put_in_buckets(found, "url", buckets, f"{root}/found-{depth}")
+            found, hit = read_buckets(spark, [table]), table.held
+        fresh = found.join(read_buckets(spark, levels, hit).select("url"), "url", "left_anti")
         depth += 1
-    return spark.read.schema(WALK).parquet(*levels)
+    return read_buckets(spark, levels)
 
 
-def _expand(edges: DataFrame, frontier: DataFrame, seen: DataFrame, frontier_bytes: int) -> DataFrame:
-    """Distinct link targets of the frontier that were not found before."""
+def _targets(edges: DataFrame, frontier: DataFrame, frontier_bytes: int) -> DataFrame:
+    """Distinct link targets of the frontier."""
     sources = frontier.select(F.col("url").alias("src_url"))
     if frontier_bytes <= BROADCAST_BYTES:
         sources = F.broadcast(sources)
-    found = edges.join(sources, "src_url", "left_semi").select("url").distinct()
-    return found.join(seen.select("url"), "url", "left_anti")
+    return edges.join(sources, "src_url", "left_semi").select("url").distinct()
 
 
 def counter_pages(templates: DataFrame, start: int, end: int) -> DataFrame:
