@@ -71,11 +71,11 @@ def test_tokens(spark, docs):
     assert result(spark, "op5_speculative_bpe", ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]) == sorted(want)
 
 
-def test_token_counts(spark, docs):
+def test_counts_of_tokens(spark, docs):
     assert result(spark, "op11_token_counts", ["doc_id", "n_bytes", "n_tokens", "over_limit"]) == sorted(test_token_counts.plain(docs))
 
 
-def test_alignment(spark, docs):
+def test_groups_and_links(spark, docs):
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     assert result(spark, "op12_alignment", names) == sorted(test_alignment.plain(docs))
 
