@@ -11,6 +11,7 @@ from weblode.catalog.page_queries import sql_records
 from weblode.catalog.registry import pages, query, table
 from weblode.config import Feature
 from weblode.functions import dom, values
+from weblode.functions.countries import iso_countries
 from weblode.operators import extract, index, model, vocabulary
 from weblode.plans.site import index_site
 from weblode.session import work_path
@@ -218,3 +219,35 @@ def site_entities(spark, sf_dir):
     index_site(linked, kept, path, buckets=8, strict_host=True)
     found = index.read_index(spark, path)
     return found.withColumn("url", F.replace("url", F.lit("amp;"), F.lit("")))
+
+
+@query(
+    "v6_category_votes_many",
+    """
+    WITH k AS (SELECT chr((97 + i // 26)::INT) || chr((97 + i % 26)::INT) AS key, i, 'class ' || i % 7 AS class FROM range(676) t(i)),
+    v AS (SELECT p_partkey, class, count(*) * 1000 - min(i) AS score FROM part JOIN k ON contains(lower(p_name), key) GROUP BY ALL)
+    SELECT p_partkey, coalesce(arg_max(class, score), 'Other Category') AS category FROM part LEFT JOIN v USING (p_partkey) GROUP BY p_partkey
+    """,
+)
+def category_votes_many(spark, sf_dir):
+    """All pairs of letters as keys: they overlap, and most texts hold many."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    keys = {a + b: f"class {(i * 26 + j) % 7}" for i, a in enumerate(letters) for j, b in enumerate(letters)}
+    return table(spark, sf_dir, "part").select("p_partkey", values.category_by_votes(F.col("p_name"), keys).alias("category"))
+
+
+SQL_NAMED = "CASE lang WHEN 'fr' THEN 'France' WHEN 'es' THEN 'Spain' WHEN 'de' THEN 'Germany' END"
+
+
+@query(
+    "v4_country_iso",
+    f"""
+    SELECT doc_id, CASE WHEN doc_id % 3 < 2 AND lang IN ('fr', 'es', 'de') THEN {SQL_NAMED} WHEN doc_id % 3 = 0 THEN 'somewhere' ELSE upper(lang) || CASE doc_id % 3 WHEN 2 THEN '?' ELSE '' END END AS country
+    FROM documents
+    """,
+)
+def country_iso(spark, sf_dir):
+    """The default table of countries: names within a text, codes, and texts that are neither."""
+    place = F.when(F.col("lang") == "fr", "in France today").when(F.col("lang") == "es", "Spain").when(F.col("lang") == "de", "ex-Germany").otherwise("somewhere")
+    text = F.when(F.col("doc_id") % 3 == 0, place).when(F.col("doc_id") % 3 == 1, F.upper("lang")).otherwise(F.concat(F.upper("lang"), F.lit("?")))
+    return table(spark, sf_dir, "documents").select("doc_id", values.country(text, iso_countries(spark)).alias("country"))

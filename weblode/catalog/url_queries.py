@@ -205,6 +205,16 @@ def deny_rules(spark, sf_dir):
     return all_links(spark, sf_dir).where(~links.denied(F.col("url"), DENIED))
 
 
+@query(
+    "u6_many_rules",
+    f"WITH {SQL_LINKS} SELECT src_url, url FROM links WHERE NOT regexp_matches(url, '/[a-z]{{2}}/[1-9][0-9][02468](?:[^0-9]|$)')",
+)
+def many_rules(spark, sf_dir):
+    """A rule for each even page number of three digits."""
+    rules = [rf"/[a-z]{{2}}/{n}(?:\D|$)" for n in range(100, 1000, 2)]
+    return all_links(spark, sf_dir).where(~links.denied(F.col("url"), rules))
+
+
 @query(
     "u7_permit_rules",
     f"WITH {SQL_LINKS} SELECT src_url, url, {sql_any('url', PERMITTED)} AS permitted FROM links",

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -43,17 +42,9 @@ def first_of(choices: Iterable[tuple[Column, object]], default: str | None = Non
     return missing if out is None else out.otherwise(missing)
 
 
-# A dictionary with more keys is one literal table that is searched; branches for all keys would be too much code to compile.
+# Dictionaries with more keys are walked as one tree (``functions.dictionary``): of texts, and of patterns, which are dearer to try.
 MOST_BRANCHES = 200
-
-
-def first_in_table(entries: Sequence[Mapping[str, str | None]], holds: Callable[[Column], Column], default: str | None) -> Column:
-    """The ``value`` of the first entry that holds; entries are texts under equal names."""
-    kind = "array<struct<" + ",".join(f"{name}:string" for name in entries[0]) + ">>"
-    table = F.from_json(F.lit(json.dumps(entries)), kind)
-    first = F.get(F.filter(table, holds), F.lit(0))
-    missing = F.lit(default).cast("string")
-    return let(first, lambda e: F.when(e.isNull(), missing).otherwise(e["value"]))
+MOST_PATTERNS = 20
 
 
 def blank_to_null(text: Column) -> Column:

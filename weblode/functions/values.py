@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from weblode.functions.core import MOST_BRANCHES, blank_to_null, first_in_table, first_of, java_pattern, let
+from weblode.functions.core import MOST_BRANCHES, MOST_PATTERNS, blank_to_null, first_of, java_pattern, let
+from weblode.functions.dictionary import first_key, first_word, found_in
 
 # The text given to a value that fits no category.
 OTHER_CATEGORY = "Other Category"
@@ -65,7 +65,10 @@ def country(text: Column, countries: Sequence[tuple[str, str]]) -> Column:
     ``countries`` are (name, alpha-2 code) pairs in order of precedence.
     """
     table = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(c).alias("code")) for n, c in countries])
-    named = F.get(F.filter(table, lambda c: F.contains(text, c["name"])), F.lit(0))["name"]
+    if len(countries) > MOST_BRANCHES:
+        named = first_key(text, {name: name for name, _ in countries}, None)
+    else:
+        named = F.get(F.filter(table, lambda c: F.contains(text, c["name"])), F.lit(0))["name"]
     coded = F.get(F.filter(table, lambda c: c["code"] == text), F.lit(0))["name"]
     return F.coalesce(named, coded, text)
 
@@ -74,17 +77,11 @@ def category(text: Column, expected: Mapping[str, str]) -> Column:
     """Value of the first key found as a whole word, ignoring case; keys are regular expressions."""
     if not expected:
         return F.when(text.isNotNull(), F.lit(OTHER_CATEGORY))
-    if len(expected) > MOST_BRANCHES:
-        # A key that is a plain word is looked for as text first: its pattern is only tried where it occurs.
-        entries = [
-            {"pattern": java_pattern(rf"\b{k.lower()}\b"), "plain": k.lower() if re.fullmatch(r"[\w -]+", k) else None, "value": v} for k, v in expected.items()
-        ]
-
-        def chosen(lowered):
-            plain = lambda e: e["plain"].isNull() | F.contains(lowered, e["plain"])
-            return first_in_table(entries, lambda e: plain(e) & F.regexp_like(lowered, e["pattern"]), OTHER_CATEGORY)
-
-        return F.when(text.isNotNull(), let(F.lower(text), chosen))
+    if len(expected) > MOST_PATTERNS:
+        lookup: dict[str, str] = {}
+        for key, value in expected.items():
+            lookup.setdefault(key.lower(), value)
+        return F.when(text.isNotNull(), let(F.lower(text), lambda lowered: first_word(lowered, lookup, OTHER_CATEGORY)))
     lowered = F.lower(text)
     found = ((lowered.rlike(java_pattern(rf"\b{key.lower()}\b")), value) for key, value in expected.items())
     return F.when(text.isNotNull(), first_of(found, OTHER_CATEGORY))
@@ -97,6 +94,8 @@ def category_by_votes(text: Column, expected: Mapping[str, str]) -> Column:
         ballots.setdefault(value, []).append((rank, key.lower()))
     if not ballots:
         return F.when(text.isNotNull(), F.lit(OTHER_CATEGORY))
+    if len(expected) > MOST_BRANCHES:
+        return F.when(text.isNotNull(), let(F.lower(text), lambda lowered: _votes_of_many(lowered, expected)))
 
     def count(lowered):
         tallies = []
@@ -119,6 +118,23 @@ def category_by_votes(text: Column, expected: Mapping[str, str]) -> Column:
     return F.when(text.isNotNull(), let(F.lower(text), count))
 
 
+def _votes_of_many(lowered: Column, expected: Mapping[str, str]) -> Column:
+    meant: dict[str, list[tuple[int, str | None]]] = {}
+    for rank, (key, value) in enumerate(expected.items()):
+        meant.setdefault(key.lower(), []).append((rank, value))
+
+    def elected(held):
+        def tally(value):
+            own = F.transform(F.filter(held, lambda e: e["value"] == value), lambda e: e["rank"])
+            return F.struct(F.size(own).alias("votes"), (-F.array_min(own)).alias("earliness"), value.alias("value"))
+
+        named = F.array_distinct(F.transform(held, lambda e: e["value"]))
+        best = F.array_max(F.transform(named, tally))["value"]
+        return F.coalesce(best, F.lit(OTHER_CATEGORY))
+
+    return let(F.array_distinct(found_in(lowered, meant)), elected)
+
+
 def postcode(text: Column) -> Column:
     return blank_to_null(F.regexp_extract(text, java_pattern(POSTCODE), 0))
 

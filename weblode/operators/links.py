@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from weblode.config import Site
 from weblode.functions import dom, urls
-from weblode.functions.core import any_rlike
+from weblode.functions.core import MOST_PATTERNS, any_rlike
+from weblode.functions.dictionary import any_rule
 
 # Fast path for markup known to be plain: double-quoted href on an <a> outside comments and scripts.
 PLAIN_HREF = r'<a\s[^>]*?href="([^"]*)"'
@@ -39,12 +40,18 @@ def same_site(url: Column, page_url: Column, strict_host: bool = False) -> Colum
     return urls.netloc(url) == host if strict_host else F.contains(url, host)
 
 
+def fits(url: Column, rules) -> Column:
+    """True if any rule is found anywhere in the URL; many are looked up by the texts they require."""
+    rules = list(rules)
+    return any_rule(url, rules, lambda few: any_rlike(url, few)) if len(rules) > MOST_PATTERNS else any_rlike(url, rules)
+
+
 def denied(url: Column, rules) -> Column:
-    return any_rlike(url, rules)
+    return fits(url, rules)
 
 
 def permitted(url: Column, rules) -> Column:
-    return any_rlike(url, rules)
+    return fits(url, rules)
 
 
 def valid_links(found: DataFrame, keep_parameters: bool, page_url: str = "src_url") -> DataFrame:

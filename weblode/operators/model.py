@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weblode.config import MISSING, DecisionModel, ModelFeature
-from weblode.functions.core import MOST_BRANCHES, first_in_table, first_of
+from weblode.functions.core import MOST_BRANCHES, first_of
+from weblode.functions.dictionary import first_key
 from weblode.functions.text import digits_only
 from weblode.operators.records import scalar
 
@@ -40,15 +41,14 @@ def or_default(value: Column, default: str | None) -> Column:
 def canonical_key(value: Column, lookup: Mapping[str, object]) -> Column:
     """First lookup key contained in the value, NULL if there is none."""
     if len(lookup) > MOST_BRANCHES:
-        return first_in_table([{"value": key} for key in lookup], lambda e: F.contains(value, e["value"]), None)
+        return first_key(value, {key: key for key in lookup}, None)
     return first_of((value.contains(key), key) for key in lookup)
 
 
 def enumeration(value: Column, lookup: Mapping[str, object], default: str | None) -> Column:
     """What the first contained key stands for, else the default."""
     if len(lookup) > MOST_BRANCHES and all(t is None or isinstance(t, str) for t in lookup.values()):
-        entries = [{"key": k, "value": t} for k, t in lookup.items()]
-        return first_in_table(entries, lambda e: F.contains(value, e["key"]), default)
+        return first_key(value, lookup, default)
     texts = {k: t if t is None or isinstance(t, str) else F.lit(t).cast("string") for k, t in lookup.items()}
     return first_of(((value.contains(key), target) for key, target in texts.items()), default)
 
