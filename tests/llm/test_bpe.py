@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -73,3 +74,16 @@ def test_memory_bound_changes_nothing(vocabulary, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_WORDS", 1)
     assert [vocabulary.encode([t])[0] for t in texts] == want
     assert [len(c) for c in bpe.chunks(iter(["x" * bpe.CHUNK_CHARS, None, "y"]))] == [1, 2]
+
+
+def test_very_long_words(vocabulary, library):
+    """Merging by a heap: ties go to the left, and 200,000 letters take seconds, not an hour."""
+    rng = random.Random(6)
+    for letters in ("a", "ab", "th", "acgt", "einrst"):
+        word = "".join(rng.choice(letters) for _ in range(3000))
+        assert vocabulary.merged(word + bpe.END) == library.encode(word, add_special_tokens=False).ids
+    long = "".join(rng.choice("acgt") for _ in range(200_000))
+    started = time.process_time()
+    ids = np.frombuffer(vocabulary.encode([long])[0][0], "<u4").tolist()
+    assert time.process_time() - started < 10
+    assert ids == library.encode(long, add_special_tokens=False).ids
