@@ -64,40 +64,61 @@ def json_directory(spark, sf_dir):
     return readers.read_json_directory(spark, path, RECORD_SCHEMA, per_file=False).drop("file_path")
 
 
-def write_arrays(rows, key, element, path, wrap=None):
-    """JSON arrays of at most a thousand elements, one per line."""
+def write_arrays(rows, key, element, path, wrap=None, pretty=False):
+    """JSON arrays of at most a thousand elements, one per line or, if pretty, over many lines."""
     grouped = rows.groupBy(F.floor(F.col(key) / 1000).alias("part")).agg(F.collect_list(element).alias("items"))
-    text = F.to_json("items") if wrap is None else F.to_json(wrap(F.col("items")))
+    items = F.col("items") if wrap is None else wrap(F.col("items"))
+    text = F.to_json(items, {"pretty": str(pretty).lower()})
     grouped.select(text.alias("value")).write.text(path)
     return path
 
 
-@query(
-    "s4_gazetteer",
-    "SELECT p_partkey AS geonameid, p_name AS name, p_brand AS subcountry, p_type AS country FROM part",
-)
-def gazetteer(spark, sf_dir):
+SQL_PLACES = "SELECT p_partkey AS geonameid, p_name AS name, p_brand AS subcountry, p_type AS country FROM part"
+
+
+def saved_gazetteer(spark, sf_dir, pretty):
     place = F.struct(
         F.col("p_partkey").alias("geonameid"),
         F.col("p_name").alias("name"),
         F.col("p_brand").alias("subcountry"),
         F.col("p_type").alias("country"),
     )
-    path = write_arrays(table(spark, sf_dir, "part"), "p_partkey", place, work_path(spark, "gazetteer"))
-    return readers.read_gazetteer(spark, path, whole_file=False)
+    return write_arrays(table(spark, sf_dir, "part"), "p_partkey", place, work_path(spark, "gazetteer"), pretty=pretty)
 
 
-@query("s5_index_export", "SELECT o_orderpriority AS priority FROM orders")
-def index_export(spark, sf_dir):
+@query("s4_gazetteer", SQL_PLACES)
+def gazetteer(spark, sf_dir):
+    return readers.read_gazetteer(spark, saved_gazetteer(spark, sf_dir, False), whole_file=False)
+
+
+@query("s4_gazetteer_array", SQL_PLACES)
+def gazetteer_array(spark, sf_dir):
+    return readers.read_gazetteer(spark, saved_gazetteer(spark, sf_dir, True))
+
+
+SQL_PRIORITIES = "SELECT o_orderpriority AS priority FROM orders"
+
+
+def saved_export(spark, sf_dir, pretty):
     hit = F.struct(F.col("o_orderpriority").alias("priority"), F.col("o_orderkey").alias("key"))
-    path = write_arrays(
+    return write_arrays(
         table(spark, sf_dir, "orders"),
         "o_orderkey",
         hit,
         work_path(spark, "export"),
         lambda items: F.struct(F.struct(items.alias("hits")).alias("hits")),
+        pretty,
     )
-    return readers.read_index_export(spark, path, "priority", whole_file=False)
+
+
+@query("s5_index_export", SQL_PRIORITIES)
+def index_export(spark, sf_dir):
+    return readers.read_index_export(spark, saved_export(spark, sf_dir, False), "priority", whole_file=False)
+
+
+@query("s5_index_export_array", SQL_PRIORITIES)
+def index_export_array(spark, sf_dir):
+    return readers.read_index_export(spark, saved_export(spark, sf_dir, True), "priority")
 
 
 @query(

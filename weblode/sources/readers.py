@@ -6,10 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weblode.functions.text import valid_text
+from weblode.sources.json_arrays import read_json_array
+
 # The encoding pages are read in, and the shapes of gazetteer and export files.
 PAGE_ENCODING = "ISO-8859-1"
 CITIES = "country string, name string, subcountry string, geonameid bigint"
 UNIVERSITIES = "name string"
+HITS = ("hits", "hits")
 
 
 def decoded(content: Column) -> Column:
@@ -28,12 +32,6 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return pages
 
 
-def valid_text(value: Column) -> Column:
-    """The text without bytes that are not UTF-8."""
-    repaired = F.translate(F.make_valid_utf8(value), "�", "")
-    return F.when(F.is_valid_utf8(value), value).otherwise(repaired)
-
-
 def read_json_directory(
     spark: SparkSession, root: str, schema: str | T.StructType, per_file: bool = True, mode: str = "FAILFAST", with_place: bool = False
 ) -> DataFrame:
@@ -62,15 +60,21 @@ def read_gazetteer(
 ) -> DataFrame:
     """JSON arrays of places (or of universities, with that schema), one row per element.
 
-    A file is one array, or has an array or object per line if not ``whole_file``.
+    A file is one array, however large, or has an array or object per line if not ``whole_file``: that form needs no shuffle.
     """
-    return spark.read.schema(schema).json(path, multiLine=whole_file)
+    if whole_file:
+        return read_json_array(spark, path, T.StructType.fromDDL(schema))
+    return spark.read.schema(schema).json(path)
 
 
 def read_index_export(spark: SparkSession, path: str, field: str, whole_file: bool = True) -> DataFrame:
-    """The field of every hit of an index export; it is read from the hit itself."""
-    schema = T.StructType().add(
-        "hits", T.StructType().add("hits", T.ArrayType(T.StructType().add(field, T.StringType())))
-    )
-    exported = spark.read.schema(schema).json(path, multiLine=whole_file)
-    return exported.select(F.explode("hits.hits").alias("hit")).select(F.col("hit").getField(field).alias(field))
+    """The field of every hit of an index export; it is read from the hit itself.
+
+    A file is one export, however large, or has one per line if not ``whole_file``.
+    """
+    hit = T.StructType().add(field, T.StringType())
+    if whole_file:
+        return read_json_array(spark, path, hit, HITS)
+    schema = T.StructType().add(HITS[0], T.StructType().add(HITS[1], T.ArrayType(hit)))
+    exported = spark.read.schema(schema).json(path)
+    return exported.select(F.explode(".".join(HITS)).alias("hit")).select(F.col("hit").getField(field).alias(field))
