@@ -1,8 +1,11 @@
+import json
 import random
 
 from pyspark.sql import functions as F
 
+from weblode.config import Feature
 from weblode.functions import dom
+from weblode.operators import extract
 
 PAGE = (
     '<!DOCTYPE html><html><head><title>T&amp;x</title><script>var a="</p>";</script></head>'
@@ -128,3 +131,49 @@ def test_entities_are_read_as_a_browser_would(spark):
     nodes = nodes_of(spark, html)
     assert [n["text"] for n in nodes if n["kind"] == "text"] == ["a&b <i> © &nosuch; éé", "l"]
     assert [n["attrs"]["href"] for n in nodes if n["tag"] == "a"] == ["/x?a=1&b=2&amp;c=3"]
+
+
+def plain_path(document, path):
+    hit, current = False, document
+    for segment in path.split("."):
+        if isinstance(current, dict) and segment in current:
+            hit, current = True, current[segment]
+    return current if hit else None
+
+
+def test_json_paths_walked_together(apply):
+    pick = random.Random(3)
+    names = ["a", "b", "c", "x y"]
+
+    def tree(depth):
+        if depth == 0 or pick.random() < 0.2:
+            return pick.choice(["v", "", "7", None])
+        return {n: tree(depth - 1) for n in names if pick.random() < 0.7}
+
+    paths = sorted({".".join(pick.choices(names, k=pick.randint(1, 4))) for _ in range(40)}, key=lambda p: pick.random())
+    paths += ["a", "a.b.c", "a.b"]
+    documents = [tree(3) for _ in range(60)]
+    got = apply([json.dumps(d) for d in documents], lambda c: dom.json_paths(F.try_parse_json(c), paths))
+
+    def plain(document, path):
+        found = plain_path(document, path)
+        return json.dumps(found, separators=(",", ":")) if isinstance(found, dict) else found
+
+    assert [[v and (json.dumps(json.loads(v), separators=(",", ":")) if v[0] == "{" else v) for v in row] for row in got] == [
+        [plain(d, p) for p in paths] for d in documents
+    ]
+
+
+def test_json_of_all_features_is_parsed_once_per_element(spark):
+    html = '<script>{"a": {"b": 1}}</script><script>{"a": {"c": "two"}, "d": ""}</script>'
+    paths = {"b": "a.b", "c": "a.c", "none": "e.f", "d": "d", "again": "a.b"}
+    features = [Feature(n, "script", property_value=p, metadata_format="json") for n, p in paths.items()]
+    parsed = dom.with_nodes(spark.createDataFrame([(html,), (None,)], "html string"))
+    pages, place = extract.with_json(parsed, features)
+    read = [extract.feature_text(f, F.col("html"), F.col("nodes"), json=place(f)).alias(f.name) for f in features]
+    got = pages.select(*read)
+    alone = parsed.select(*[extract.feature_text(f, F.col("html"), F.col("nodes")).alias(f.name) for f in features])
+    assert got.collect() == alone.collect()
+    assert got.first().asDict() == {"b": "1", "c": '{"b":1}', "none": None, "d": None, "again": "1"}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") + plan.count("parse_json") == 1

@@ -228,16 +228,11 @@ def embedded_json(spark, sf_dir):
     """,
 )
 def json_path(spark, sf_dir):
-    def read(name, path):
-        feature = Feature(name, "script", property_value=path, metadata_format="json")
-        return extract.feature_text(feature, F.col("html"), F.col("nodes")).alias(name)
-
-    return event_pages(spark, sf_dir).select(
-        "event_id",
-        read("full_path", "event.props.k"),
-        read("with_gaps", "nothing.event.here.props.k"),
-        read("absent", "nothing.here"),
-    )
+    paths = {"full_path": "event.props.k", "with_gaps": "nothing.event.here.props.k", "absent": "nothing.here"}
+    wanted = [Feature(name, "script", property_value=path, metadata_format="json") for name, path in paths.items()]
+    pages, json = extract.with_json(event_pages(spark, sf_dir), wanted)
+    read = [extract.feature_text(f, F.col("html"), F.col("nodes"), json=json(f)).alias(f.name) for f in wanted]
+    return pages.select("event_id", *read)
 
 
 def first_item(condition: str, value: str = "text") -> str:

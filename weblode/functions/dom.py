@@ -6,7 +6,7 @@ text are all row-local and need no shuffle. ``explode_nodes`` gives the flat nod
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -146,17 +146,45 @@ def embedded_json(html: Column, node: Column) -> Column:
     return F.try_parse_json(F.regexp_replace(markup_of(html, node), r"<[^\n]*?>", " "))
 
 
+def json_paths(document: Column, paths: Sequence[str]) -> Column:
+    """What dotted paths lead to, as an array in their order; segments that are absent are skipped, NULL if none is present.
+
+    The paths are walked as one tree: a step that several of them begin with is taken once.
+    """
+    order = []
+
+    def follow(current, hit, depth, among):
+        """The values of the paths that have come this far together; those that end here come first."""
+        ended = [i for i in among if len(segments[i]) == depth]
+        order.extend(ended)
+        value = F.when(hit, F.try_variant_get(current, "$", "string"))
+        found = [F.array(*[value] * len(ended))] if ended else []
+        steps = {}
+        for i in among:
+            if len(segments[i]) > depth:
+                steps.setdefault(segments[i][depth], []).append(i)
+        found.extend(taken(current, hit, depth, segment, onward) for segment, onward in steps.items())
+        return F.concat(*found) if len(found) > 1 else found[0]
+
+    def taken(current, hit, depth, segment, onward):
+        def state(step):
+            return F.struct(F.coalesce(step, current).alias("at"), (hit | step.isNotNull()).alias("hit"))
+
+        step = F.try_variant_get(current, f"$['{segment}']", "variant")
+        return let(let(step, state), lambda s: follow(s["at"], s["hit"], depth + 1, onward))
+
+    segments = [path.split(".") for path in paths]
+    values = let(document, lambda d: follow(d, F.lit(False), 0, range(len(segments))))
+    if order == sorted(order):
+        return values
+    return let(values, lambda v: F.array(*[F.get(v, F.lit(order.index(i))) for i in range(len(segments))]))
+
+
 def json_path(document: Column, path: str) -> Column:
-    """Follow a dotted path, skipping segments that are absent; NULL if none is present."""
-    segments = path.split(".")
-
-    def follow(current, rest, any_hit):
-        if not rest:
-            return F.when(any_hit, F.try_variant_get(current, "$", "string"))
-        step = F.try_variant_get(current, f"$['{rest[0]}']", "variant")
-        return let(
-            step,
-            lambda s: let(F.coalesce(s, current), lambda nxt: follow(nxt, rest[1:], any_hit | s.isNotNull())),
-        )
+    """What one dotted path leads to."""
+    return F.get(json_paths(document, [path]), F.lit(0))
+
 
-    return let(document, lambda d: follow(d, segments, F.lit(False)))
+def json_values(html: Column, found: Column, paths: Sequence[str]) -> Column:
+    """For each element an array of what the paths lead to in its JSON, parsed once."""
+    return F.transform(found, lambda element: json_paths(embedded_json(html, element), paths))

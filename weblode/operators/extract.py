@@ -11,6 +11,9 @@ from weblode.config import Anchor, Feature
 from weblode.functions import dom, values
 from weblode.functions.core import any_contains, blank_to_null, let
 
+# The column with what JSON features read from each element, and a feature's place in it.
+JsonRead = tuple[Column, int]
+
 
 def has_body(nodes: Column) -> Column:
     return F.exists(nodes, lambda n: n["tag"] == "body")
@@ -87,14 +90,44 @@ def anchored(
     return let(dom.moved(nodes, element, steps), value) if steps else value(element)
 
 
+def json_paths_of(features: Sequence[Feature]) -> dict[tuple[str, str | None], list[str]]:
+    """The JSON paths that features read, by the elements they read them from."""
+    paths: dict[tuple[str, str | None], list[str]] = {}
+    for f in features:
+        if f.reads_json and not f.static_value:
+            among = paths.setdefault((f.tag, f.css_class), [])
+            if f.property_value not in among:
+                among.append(f.property_value)
+    return paths
+
+
+def with_json(parsed: DataFrame, features: Sequence[Feature]) -> tuple[DataFrame, Callable[[Feature], JsonRead | None]]:
+    """Pages with what all JSON features read, each element parsed once; and where a feature finds its value."""
+    paths = json_paths_of(features)
+    names = {selector: f"page_json_{i}" for i, selector in enumerate(paths)}
+    html, nodes = F.col("html"), F.col("nodes")
+    read = [
+        dom.json_values(html, dom.elements(nodes, *selector), among).alias(names[selector]) for selector, among in paths.items()
+    ]
+
+    def place(feature):
+        selector = (feature.tag, feature.css_class)
+        if not feature.reads_json or feature.static_value:
+            return None
+        return F.col(names[selector]), paths[selector].index(feature.property_value)
+
+    return parsed.select("*", *read), place
+
+
 def feature_text(
-    feature: Feature, html: Column, nodes: Column, countries: Sequence[tuple[str, str]] = ()
+    feature: Feature, html: Column, nodes: Column, countries: Sequence[tuple[str, str]] = (), json: JsonRead | None = None
 ) -> Column:
     """The typed text of a feature on one page.
 
     Exactly one matching element is used directly. Otherwise every element is tried in document
     order, on each one embedded JSON, then infix, prefix and postfix anchors; the first value that
-    is not empty wins. A feature read from JSON is tried that way for any number of elements.
+    is not empty wins. A feature read from JSON is tried that way for any number of elements; ``json``
+    tells where ``with_json`` has read it, without it the elements are parsed for this feature alone.
     """
 
     def type_value(text):
@@ -107,11 +140,8 @@ def feature_text(
         )
 
     def first_of_many(found, sides):
-        def tries(element):
-            options = []
-            if feature.reads_json:
-                document = dom.embedded_json(html, element)
-                options.append(type_value(dom.json_path(document, feature.property_value)))
+        def tries(element, json_text=None):
+            options = [] if json_text is None else [type_value(json_text)]
             for side, anchor, candidates in sides:
                 options.append(
                     anchored(html, nodes, element, candidates, anchor, side, feature, type_value)
@@ -119,7 +149,14 @@ def feature_text(
             return F.coalesce(*[blank_to_null(o) for o in options])
 
         # Once there is a value, no further element is tried.
-        return F.aggregate(found, F.lit(None).cast("string"), lambda value, element: F.coalesce(value, tries(element)))
+        nothing = F.lit(None).cast("string")
+        if not feature.reads_json:
+            return F.aggregate(found, nothing, lambda value, element: F.coalesce(value, tries(element)))
+        read, at = json or (dom.json_values(html, found, [feature.property_value]), 0)
+        if not sides:
+            return F.aggregate(read, nothing, lambda value, r: F.coalesce(value, tries(None, F.get(r, F.lit(at)))))
+        pairs = F.zip_with(found, read, lambda e, r: F.struct(e.alias("element"), F.get(r, F.lit(at)).alias("json")))
+        return F.aggregate(pairs, nothing, lambda value, p: F.coalesce(value, tries(p["element"], p["json"])))
 
     def with_candidates(found, pending, bound):
         if not pending:
@@ -146,17 +183,19 @@ def feature_text(
         one = let(F.get(found, F.lit(0)), only)
         return F.when(F.size(found) == 1, one).otherwise(many)
 
+    if feature.reads_json and json and not sides:
+        return first_of_many(None, [])
     return let(dom.elements(nodes, feature.tag, feature.css_class), chosen)
 
 
 def feature_value(
-    feature: Feature, html: Column, nodes: Column, countries=(), as_array: bool = False
+    feature: Feature, html: Column, nodes: Column, countries=(), as_array: bool = False, json: JsonRead | None = None
 ) -> Column:
     """Everything that is done to one feature of one page."""
     if feature.static_value:
         return F.lit(feature.static_value)
     return values.finished(
-        feature_text(feature, html, nodes, countries),
+        feature_text(feature, html, nodes, countries, json),
         feature.datatype,
         feature.removal_patterns,
         feature.extraction_patterns,

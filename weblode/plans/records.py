@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from weblode.config import Feature, Site
 from weblode.functions import dom, urls, values
 from weblode.functions.countries import iso_countries
-from weblode.operators.extract import feature_text, feature_value, has_body, needed_nodes
+from weblode.operators.extract import feature_text, feature_value, has_body, needed_nodes, with_json
 from weblode.operators.links import link_hrefs
 from weblode.operators.places import locate
 
@@ -39,12 +39,13 @@ def read_features(
     if with_links and tags is not None:
         tags = tags | {"a"}
     parsed = dom.with_nodes(pages.select(*keep, "url", "html"), tags, text_tags)
+    parsed, json = with_json(parsed, site.features)
     html, nodes, places = F.col("html"), F.col("nodes"), place_features(site)
     url = F.col("url") if site.keep_parameters_for_indexing else urls.strip_parameters(F.col("url"))
     columns = [
-        feature_text(f, html, nodes, countries)
+        feature_text(f, html, nodes, countries, json(f))
         if f in places
-        else feature_value(f, html, nodes, countries, site.all_array)
+        else feature_value(f, html, nodes, countries, site.all_array, json(f))
         for f in site.features
     ]
     return parsed.select(
