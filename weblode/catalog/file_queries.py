@@ -64,9 +64,9 @@ def json_directory(spark, sf_dir):
     return readers.read_json_directory(spark, path, RECORD_SCHEMA, per_file=False).drop("file_path")
 
 
-def write_arrays(rows, key, element, path, wrap=None, pretty=False):
-    """JSON arrays of at most a thousand elements, one per line or, if pretty, over many lines."""
-    grouped = rows.groupBy(F.floor(F.col(key) / 1000).alias("part")).agg(F.collect_list(element).alias("items"))
+def write_arrays(rows, key, element, path, wrap=None, pretty=False, most=1000):
+    """JSON arrays of at most so many elements, one per line or, if pretty, over many lines."""
+    grouped = rows.groupBy(F.floor(F.col(key) / most).alias("part")).agg(F.collect_list(element).alias("items"))
     items = F.col("items") if wrap is None else wrap(F.col("items"))
     text = F.to_json(items, {"pretty": str(pretty).lower()})
     grouped.select(text.alias("value")).write.text(path)
@@ -99,16 +99,13 @@ def gazetteer_array(spark, sf_dir):
 SQL_PRIORITIES = "SELECT o_orderpriority AS priority FROM orders"
 
 
+def as_hits(items):
+    return F.struct(F.struct(items.alias("hits")).alias("hits"))
+
+
 def saved_export(spark, sf_dir, pretty):
     hit = F.struct(F.col("o_orderpriority").alias("priority"), F.col("o_orderkey").alias("key"))
-    return write_arrays(
-        table(spark, sf_dir, "orders"),
-        "o_orderkey",
-        hit,
-        work_path(spark, "export"),
-        lambda items: F.struct(F.struct(items.alias("hits")).alias("hits")),
-        pretty,
-    )
+    return write_arrays(table(spark, sf_dir, "orders"), "o_orderkey", hit, work_path(spark, "export"), as_hits, pretty)
 
 
 @query("s5_index_export", SQL_PRIORITIES)
@@ -121,6 +118,14 @@ def index_export_array(spark, sf_dir):
     return readers.read_index_export(spark, saved_export(spark, sf_dir, True), "priority")
 
 
+@query("s5_document_hits", "SELECT text FROM documents")
+def document_hits(spark, sf_dir):
+    hit = F.struct("text", F.struct("doc_id", "lang").alias("about"))
+    path = work_path(spark, "hits")
+    write_arrays(table(spark, sf_dir, "documents"), "doc_id", hit, path, as_hits, pretty=True, most=100)
+    return readers.read_index_export(spark, path, "text")
+
+
 @query(
     "s6_json_sink",
     "SELECT c_custkey AS url, CASE WHEN c_acctbal < 0 THEN 'N/A' ELSE c_mktsegment END AS segment FROM customer",
