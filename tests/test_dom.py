@@ -1,10 +1,11 @@
 import json
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from weblode.config import Feature
-from weblode.functions import dom
+from weblode.functions import dom, html_nodes
 from weblode.operators import extract
 
 PAGE = (
@@ -100,6 +101,17 @@ def test_empty_and_missing_pages(spark):
     assert [r["n"] for r in sizes] == [0, 0, 1]
 
 
+def test_nodes_are_given_out_in_pieces():
+    """A worker holds the nodes of a piece, not of a whole Arrow batch."""
+    page = "<p>" + "<b>x</b>" * 5000 + "</p>"
+    htmls = ([page, "", None, "<i>y</i>"] * 100) + [None] * 3000
+    batches = [pa.array(htmls[:150]), pa.array([], pa.string()), pa.array(htmls[150:])]
+    pieces = list(html_nodes.read_batches(iter(batches), None, None))
+    assert max(len(piece.flatten()) for piece in pieces) < 30 * 10_001
+    assert max(map(len, pieces)) <= html_nodes.PIECE_PAGES
+    assert [len(nodes) for piece in pieces for nodes in piece] == [10_001, 0, 0, 2] * 100 + [0] * 3000
+
+
 def test_class_matching(spark):
     html = '<a class="x y">1</a><a class="y x">2</a><a>3</a><a class="">4</a><b class="x">5</b>'
     page = dom.with_nodes(spark.createDataFrame([(html,)], "html string"))

@@ -6,7 +6,7 @@ text are all row-local and need no shuffle. ``explode_nodes`` gives the flat nod
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -25,8 +25,8 @@ def dom_nodes(html: Column, tags: Iterable[str] | None = None, text_tags: Iterab
     keep = None if tags is None else frozenset(tags) | frozenset(text_tags)
     keep_text = None if tags is None else frozenset(text_tags)
 
-    def read(pages: pa.Array) -> pa.Array:
-        return html_nodes.read_batch(pages, keep, keep_text)
+    def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return html_nodes.read_batches(batches, keep, keep_text)
 
     # Declared non-deterministic so that no filter or projection makes Spark parse a page twice.
     reader = F.arrow_udf(read, f"array<{html_nodes.NODE_DDL}>").asNondeterministic()
