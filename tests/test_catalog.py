@@ -64,3 +64,29 @@ print("rows", contract.entry(spark).count())
 def test_plans_have_no_nested_loops(spark, name):
     plan = entry.queries()[name](spark, BASE)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+@pytest.fixture(scope="module")
+def shared_addresses(spark, tmp_path_factory):
+    """Every address three times: with a later page of the same heading, and with one of another heading."""
+    from pyspark.sql import functions as F
+
+    folder = str(tmp_path_factory.mktemp("shared-addresses"))
+    pages = spark.read.parquet(f"{BASE}/pages.parquet")
+
+    def variant(place, old, new):
+        return pages.select((F.col("page_id") * 3 + place).alias("page_id"), "url", F.replace("html", F.lit(old), F.lit(new)).alias("html"))
+
+    variants = [variant(0, "", ""), variant(1, '<div class="ad">', '<div class="ad">Later '), variant(2, "<h1>", "<h1>Other ")]
+    variants[0].union(variants[1]).union(variants[2]).coalesce(1).write.parquet(f"{folder}/pages.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name", ["t1_stream_ingest", "t2_stream_files"])
+def test_streams_of_pages_that_share_addresses(spark, shared_addresses, name):
+    frame = entry.queries()[name](spark, shared_addresses)
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{shared_addresses}/pages.parquet/*.parquet')")
+    result = db.execute(entry.oracle_sql()[name])
+    names = [c[0] for c in result.description]
+    assert rows_of(frame.columns, frame.collect()) == rows_of(names, result.fetchall())

@@ -27,6 +27,8 @@ from weblode.session import stored, work_path
 
 BUCKET = "bucket"
 LOG = "version long, batch string, schema string, identity array<string>, count int, buckets map<string,array<string>>, keys map<string,array<string>>"
+# Tells which records of a batch take the place of a document; it is not indexed.
+REPLACES = "_replaces"
 STATE = "kind string, name string, folders array<string>, number long"
 
 # A bucket that consists of more appended parts is put together when it is next written.
@@ -231,6 +233,22 @@ def not_in_index(path: str, records: DataFrame, identity: Sequence[str], key: st
     return records.join(known, same, "left_anti")
 
 
+def new_or_earlier(path: str, records: DataFrame, key: str, arrival: Sequence[str]) -> DataFrame:
+    """Records whose id the index does not hold, and those that arrived before the document under their id; ``REPLACES`` marks the latter.
+
+    ``records`` has one row per id; the index holds the arrival columns. Only buckets the records fall into are read.
+    """
+    spark = records.sparkSession
+    state = read_state(spark, path)
+    if state.schema is None:
+        return records.withColumn(REPLACES, F.lit(False))
+    records = stored(records, work_path(spark, "records"))
+    touched = numbers_in(records.select(bucket_of(key, state.count).alias(BUCKET)), BUCKET)
+    known = read_buckets(spark, path, state, touched).select(F.col(key).alias("_known"), F.struct(*arrival).alias("_arrived"))
+    met = records.join(known, F.col(key) == F.col("_known"), "left").withColumn(REPLACES, F.col("_known").isNotNull())
+    return met.where(~F.col(REPLACES) | (F.struct(*arrival) < F.col("_arrived"))).drop("_known", "_arrived")
+
+
 def fitted(records: DataFrame, schema: T.StructType | None) -> tuple[DataFrame, T.StructType]:
     """Records in the types the index has, and its schema with the columns that are new."""
     known = {f.name: f.dataType for f in schema or ()}
@@ -256,6 +274,7 @@ def upsert(
     that is committed already, or an earlier one of its source (``source-number``), is left alone, so a job may run it again. New columns
     are added to the index; a value that does not fit its column's type becomes NULL. ``buckets`` counts for the
     first commit and stays for the life of an index. ``identity`` names the features that ``not_in_index`` will be asked by.
+    Records with a column ``REPLACES`` say themselves which of them take a document's place: only the buckets of these are written anew.
     """
     spark = records.sparkSession
     state = read_state(spark, path)
@@ -266,11 +285,14 @@ def upsert(
     count = state.count or buckets
     latest = last_of_each(records, key, arrival) if arrival else records
     latest, schema = fitted(latest, state.schema)
+    schema = T.StructType([f for f in schema if f.name != REPLACES])
     incoming = stored(latest.withColumn(BUCKET, bucket_of(key, count)), work_path(spark, "incoming"))
     touched = numbers_in(incoming, BUCKET)
+    replaced = numbers_in(incoming.where(REPLACES), BUCKET) if REPLACES in incoming.columns else set() if only_new else touched
+    incoming = incoming.drop(REPLACES)
     if not touched and state.schema == schema:
         return
-    rewritten = {b for b in touched if not only_new or len(state.buckets.get(b, ())) >= MOST_PARTS}
+    rewritten = {b for b in touched if b in replaced or len(state.buckets.get(b, ())) >= MOST_PARTS}
     merged = incoming
     if held := rewritten & state.buckets.keys():
         current = read_buckets(spark, path, replace(state, schema=schema), held)

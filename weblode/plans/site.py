@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from weblode.config import MISSING, Site
 from weblode.functions import urls
 from weblode.operators import frontier, links, records
-from weblode.operators.index import not_in_index, read_state, upsert
+from weblode.operators.index import REPLACES, new_or_earlier, not_in_index, read_state, upsert
 from weblode.operators.joins import hot_keys, looked_up
 from weblode.plans.records import HREFS, read_features, to_records
 from weblode.session import stored, work_path
@@ -125,10 +125,18 @@ def index_site(
     return frontier.crawl_summary(visited_links, max_visits).withColumn("cut", F.lit(cut))
 
 
-def new_records(extracted: DataFrame, site: Site, index_path: str, arrival: Sequence[str]) -> DataFrame:
-    """Complete records, the first of each identity, that the index does not hold yet."""
+def new_records(
+    extracted: DataFrame, site: Site, index_path: str, arrival: Sequence[str], by_identity: bool = False
+) -> DataFrame:
+    """Complete records, the first of each identity, that the index does not hold yet.
+
+    ``by_identity`` is for an index whose documents stand under their identity: records that arrived before the document
+    of their identity are given too, marked by ``REPLACES``.
+    """
     whole = records.complete(extracted, site.identity)
     first = records.first_of_each(whole, site.identity, arrival)
+    if by_identity:
+        return new_or_earlier(index_path, with_identity(first, site), "id", arrival).drop("id")
     keyed = with_id(first, site)
     return not_in_index(index_path, keyed, looked_up_by(site), document_key(site)).select(*first.columns)
 
@@ -147,6 +155,11 @@ def with_id(found: DataFrame, site: Site) -> DataFrame:
     return found.withColumn("id", records.scalar(found, "url")) if site.all_array else found
 
 
+def with_identity(found: DataFrame, site: Site) -> DataFrame:
+    """Records with all their identity features as the id."""
+    return found.withColumn("id", F.to_json(F.struct(*[records.scalar(found, c).alias(c) for c in site.identity])))
+
+
 def save_files(fresh: DataFrame, site: Site, files_path: str | None, run: str) -> None:
     """Record files of one run or batch; written again, they replace what it wrote before."""
     if files_path:
@@ -162,11 +175,16 @@ def upsert_records(
     arrival: Sequence[str] = (),
     buckets: int = 64,
     batch: str | None = None,
+    by_identity: bool = False,
 ) -> None:
     """Put new records into the index by URL; ``arrival`` columns order them and are not indexed.
 
-    Records that differ in another identity feature may share a URL; the last to arrive is indexed.
+    Records that differ in another identity feature may share a URL; the last to arrive is indexed. With ``by_identity`` each
+    has a document of its own, and the ``arrival`` columns are indexed, for later batches to be compared with.
     """
+    if by_identity:
+        upsert(index_path, with_identity(fresh, site), "id", buckets=buckets, batch=batch, only_new=True, identity=["id"])
+        return
     key = document_key(site)
     keyed = with_id(fresh, site)
     if set(site.identity) != {"url"}:
