@@ -82,7 +82,7 @@ def shared_addresses(spark, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["t1_stream_ingest", "t2_stream_files"])
+@pytest.mark.parametrize("name", ["t1_stream_ingest", "t1_two_streams", "t2_stream_files"])
 def test_streams_of_pages_that_share_addresses(spark, shared_addresses, name):
     frame = entry.queries()[name](spark, shared_addresses)
     db = duckdb.connect()
