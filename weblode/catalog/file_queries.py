@@ -259,13 +259,16 @@ def model_load(spark, sf_dir):
     )
 
 
-def land_pages(spark, sf_dir, copies: int):
-    """The page table as several files in a landing folder, each page arriving ``copies`` times."""
+def land_pages(spark, source, copies: int = 1):
+    """Pages as files in a landing folder, each page arriving ``copies`` times; the folder, and how many files two thirds of a copy are.
+
+    A copy is three files of a small table, and as many as a scan of a large one has tasks: they are written and read by all cores.
+    """
     landing = work_path(spark, "landing")
-    source = table(spark, sf_dir, "pages").repartition(3, "page_id")
+    thirds = max(1, source.rdd.getNumPartitions() // 3)
     for _ in range(copies):
-        source.write.mode("append").parquet(landing)
-    return landing, source.schema
+        source.repartition(3 * thirds, "page_id").write.mode("append").parquet(landing)
+    return landing, 2 * thirds
 
 
 # Addresses are kept whole. Some pages share one, and they may arrive in any order: the index goes by page_id.
@@ -273,9 +276,9 @@ WHOLE_URLS = replace(RECORD, keep_parameters_for_indexing=True)
 
 
 def drained(spark, sf_dir, files_path=None):
-    landing, schema = land_pages(spark, sf_dir, copies=2)
-    target = work_path(spark, "index")
-    stream = read_page_stream(spark, landing, schema, files_per_batch=2)
+    source, target = table(spark, sf_dir, "pages"), work_path(spark, "index")
+    landing, files = land_pages(spark, source, copies=2)
+    stream = read_page_stream(spark, landing, source.schema, files_per_batch=files)
     ingest_stream(
         stream, WHOLE_URLS, target, f"{target}/checkpoint", files_path, arrival=["page_id", "url"], buckets=8, by_identity=True
     ).awaitTermination()

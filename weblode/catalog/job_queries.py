@@ -6,7 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from weblode.catalog.file_queries import RECORD_SCHEMA, SITE, WHOLE_URLS, streamed_records
+from weblode.catalog.file_queries import RECORD_SCHEMA, SITE, WHOLE_URLS, land_pages, streamed_records
 from weblode.catalog.page_queries import sql_records
 from weblode.catalog.registry import pages, query, table
 from weblode.config import Feature
@@ -24,9 +24,8 @@ def two_streams(spark, sf_dir):
     """Half of the pages arrive in one landing folder, half in another; both streams feed one index, which goes by page_id."""
     source, target = table(spark, sf_dir, "pages"), work_path(spark, "index")
     for half in (0, 1):
-        landing = work_path(spark, "landing")
-        source.where(F.col("page_id") % 2 == half).repartition(3, "page_id").write.parquet(landing)
-        stream = read_page_stream(spark, landing, source.schema, files_per_batch=2)
+        landing, files = land_pages(spark, source.where(F.col("page_id") % 2 == half))
+        stream = read_page_stream(spark, landing, source.schema, files_per_batch=files)
         ingest_stream(
             stream, WHOLE_URLS, target, work_path(spark, "checkpoint"), arrival=["page_id", "url"], buckets=8, by_identity=True
         ).awaitTermination()
